@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..config import ExitCodes, Windows
 from ..functions.nulls import earliest, latest, ratio
@@ -100,13 +101,12 @@ def aggregate_loans(
     tick = F.col("tick")
     last_values = last_values or {}
     aggregates = [m.compute.alias(m.name) for m in measures]
-    for name, column in last_values.items():
-        aggregates.append(latest(column, tick).alias(name))
-        if snapshot:
-            aggregates.append(F.max(F.when(column.isNotNull(), tick)).alias(f"{name}__tick"))
-    if not snapshot:
-        return months.groupBy(*LOAN_KEY).agg(*aggregates)
+    aggregates += [latest(column, tick).alias(name) for name, column in last_values.items()]
+    if not any(isinstance(months.schema[c].dataType, StringType) for c in snapshot):
+        firsts = [earliest(F.col(c), tick).alias(c) for c in snapshot]
+        return months.groupBy(*LOAN_KEY).agg(*firsts, *aggregates)
 
+    aggregates += [F.max(F.when(column.isNotNull(), tick)).alias(f"{n}__tick") for n, column in last_values.items()]
     partial = months.groupBy(*LOAN_KEY, *snapshot).agg(F.min(tick).alias("first_tick"), *aggregates)
     merged = [earliest(F.col(c), F.col("first_tick")).alias(c) for c in snapshot]
     merged += [m.merge(F.col(m.name)).alias(m.name) for m in measures]
@@ -114,30 +114,24 @@ def aggregate_loans(
     return partial.groupBy(*LOAN_KEY).agg(*merged)
 
 
-def _with_eligibility(loans: DataFrame, windows: Windows) -> DataFrame:
-    resolved = (F.col("observed_through_age") >= windows.label_last) | (F.col("ever_terminal") == 1)
-    return loans.withColumn("eligible", F.when(resolved, 1).otherwise(0))
-
-
 def origination_snapshot(panel: DataFrame) -> DataFrame:
-    months = with_effective_age(panel)
-    return aggregate_loans(months, [], snapshot=ORIGINATION_COLUMNS).select(*LOAN_KEY, *ORIGINATION_COLUMNS)
+    return loan_features(panel, columns=ORIGINATION_COLUMNS)
 
 
 def window_features(panel: DataFrame, windows: Windows = Windows(), codes: ExitCodes = ExitCodes()) -> DataFrame:
-    months = with_effective_age(panel)
-    balance = F.when(F.col("age") <= windows.feature_last, F.col("CURRENT_UPB"))
-    loans = aggregate_loans(months, window_measures(windows, codes), {"f12_last_upb": balance})
-    return loans.select(*LOAN_KEY, *[c for c in WINDOW_FEATURES if c != "f12_upb_paid_ratio"])
+    return loan_features(panel, windows=windows, codes=codes, columns=WINDOW_FEATURES)
 
 
 def labels(panel: DataFrame, windows: Windows = Windows(), codes: ExitCodes = ExitCodes()) -> DataFrame:
     """Competing-risk labels; ``y_censored`` marks loans with no event and no forbearance."""
-    loans = aggregate_loans(with_effective_age(panel), label_measures(windows, codes))
+    loans = loan_features(panel, windows=windows, codes=codes, columns=LABEL_COLUMNS)
     quiet = (F.col("y_delinq_90p") == 0) & (F.col("y_prepay") == 0) & (F.col("lw_forbearance") == 0)
-    return loans.withColumn("y_censored", F.when(quiet, 1).otherwise(0)).select(
-        *LOAN_KEY, *LABEL_COLUMNS, "y_censored"
-    )
+    return loans.withColumn("y_censored", F.when(quiet, 1).otherwise(0))
+
+
+def outcomes(panel: DataFrame, windows: Windows = Windows(), codes: ExitCodes = ExitCodes()) -> DataFrame:
+    """Labels, horizon and eligibility without any inputs, for summaries."""
+    return loan_features(panel, windows=windows, codes=codes, columns=[*LABEL_COLUMNS, *HORIZON_COLUMNS, "eligible"])
 
 
 def eligibility(panel: DataFrame, windows: Windows = Windows(), strict: bool = False) -> DataFrame:
@@ -147,11 +141,21 @@ def eligibility(panel: DataFrame, windows: Windows = Windows(), strict: bool = F
     that it was still observed after the feature window, so that loans which ended
     inside it no longer count as observed zeros.
     """
-    loans = _with_eligibility(aggregate_loans(with_effective_age(panel), horizon_measures()), windows)
+    loans = loan_features(panel, windows=windows, columns=[*HORIZON_COLUMNS, "eligible"])
     if strict:
         alive = F.col("observed_through_age") > windows.feature_last
         loans = loans.withColumn("eligible", F.when(alive, F.col("eligible")).otherwise(0))
-    return loans.select(*LOAN_KEY, *HORIZON_COLUMNS, "eligible")
+    return loans
+
+
+# Columns computed from other columns of the loan row.
+_INPUTS = {
+    "f12_upb_paid_ratio": ("ORIG_UPB", "f12_last_upb"),
+    "hpi_state_ratio_curr_to_orig": ("hpi_state_curr", "hpi_state_orig"),
+    "rate_incentive": ("ORIG_RATE", "macro_mortgage30us"),
+    "est_current_ltv_from_oltv": ("OLTV", "hpi_state_curr", "hpi_state_orig"),
+    "eligible": ("observed_through_age", "ever_terminal"),
+}
 
 
 def loan_features(
@@ -160,38 +164,49 @@ def loan_features(
     price_index: DataFrame | None = None,
     windows: Windows = Windows(),
     codes: ExitCodes = ExitCodes(),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The full loan row. A missing lookup table leaves its columns NULL."""
+    """The full loan row, or only ``columns`` of it.
+
+    A missing lookup table leaves its columns NULL. Measures that no wanted column needs
+    are not computed.
+    """
+    shown = list(columns) if columns else [c for c in FEATURE_ROW_COLUMNS if c not in LOAN_KEY]
+    needed = set(shown) | {i for c in shown for i in _INPUTS.get(c, ())}
     in_window = F.col("age") <= windows.feature_last
-    months = with_market(with_effective_age(panel), rates, price_index, in_window)
+    months = with_effective_age(panel)
+    if needed & set(MARKET_SERIES):
+        months = with_market(months, rates, price_index, in_window)
     last_values = {"f12_last_upb": F.when(in_window, F.col("CURRENT_UPB"))}
     last_values |= {s: F.when(in_window, F.col(s)) for s in MARKET_SERIES if s in months.columns}
     measures = window_measures(windows, codes) + label_measures(windows, codes) + horizon_measures()
-    loans = aggregate_loans(months, measures, last_values, ORIGINATION_COLUMNS)
-    return derive_features(_with_eligibility(loans, windows))
+    loans = aggregate_loans(
+        months,
+        [m for m in measures if m.name in needed],
+        {n: c for n, c in last_values.items() if n in needed},
+        [c for c in ORIGINATION_COLUMNS if c in needed],
+    )
+    return _derived(loans, needed, windows).select(*LOAN_KEY, *shown)
 
 
-def derive_features(loans: DataFrame) -> DataFrame:
-    """Ratios over the aggregated values, in the published column order."""
-    absent = {s: F.lit(None).cast("double") for s in MARKET_SERIES if s not in loans.columns}
+def _derived(loans: DataFrame, needed: set[str], windows: Windows) -> DataFrame:
+    """Ratios and flags over the aggregated values; market series that were not joined are NULL."""
+    absent = {s: F.lit(None).cast("double") for s in MARKET_SERIES if s in needed and s not in loans.columns}
     current, original = F.col("hpi_state_curr"), F.col("hpi_state_orig")
     growth = F.when((original > 0) & (current > 0), current / original)
-    return (
-        loans.withColumns(absent)
-        .withColumns(
-            {
-                "f12_upb_paid_ratio": ratio(F.col("ORIG_UPB") - F.col("f12_last_upb"), F.col("ORIG_UPB")),
-                "hpi_state_ratio_curr_to_orig": ratio(current, original),
-                "rate_incentive": F.col("ORIG_RATE") - F.col("macro_mortgage30us"),
-                "est_current_ltv_from_oltv": F.when(F.col("OLTV") > 0, F.col("OLTV") / growth),
-            }
-        )
-        .select(*FEATURE_ROW_COLUMNS)
-    )
+    resolved = (F.col("observed_through_age") >= windows.label_last) | (F.col("ever_terminal") == 1)
+    formulas = {
+        "f12_upb_paid_ratio": ratio(F.col("ORIG_UPB") - F.col("f12_last_upb"), F.col("ORIG_UPB")),
+        "hpi_state_ratio_curr_to_orig": ratio(current, original),
+        "rate_incentive": F.col("ORIG_RATE") - F.col("macro_mortgage30us"),
+        "est_current_ltv_from_oltv": F.when(F.col("OLTV") > 0, F.col("OLTV") / growth),
+        "eligible": F.when(resolved, 1).otherwise(0),
+    }
+    return loans.withColumns(absent).withColumns({n: f for n, f in formulas.items() if n in needed})
 
 
 def market_features(
     panel: DataFrame, rates: DataFrame | None, price_index: DataFrame | None, windows: Windows = Windows()
 ) -> DataFrame:
-    """Only the market columns of :func:`loan_features`."""
-    return loan_features(panel, rates, price_index, windows).select(*LOAN_KEY, *MARKET_FEATURES)
+    """Only the market columns of the loan row."""
+    return loan_features(panel, rates, price_index, windows, columns=MARKET_FEATURES)

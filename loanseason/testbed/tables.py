@@ -8,7 +8,6 @@ query under test and its oracle start from equal rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import EraBound, QualityContract, SplitBands
 
@@ -172,13 +171,10 @@ def series_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark(spark, sf_dir, _SERIES_BY_DATE)
 
 
-def rate_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One ``(date, value)`` frame per series, as separate source files would give."""
-    wide = series_by_date(spark, sf_dir)
-    return {
-        name: wide.where(F.col(name).isNotNull()).select(F.col("dt").alias("date"), F.col(name).alias("value"))
-        for name in ("mortgage30us", "unrate", "dgs10", "gs3m")
-    }
+def rate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series in long form, with gaps, as a merge of source files would give."""
+    wide = series_by_date(spark, sf_dir).withColumnRenamed("dt", "date")
+    return wide.unpivot(["date"], ["mortgage30us", "unrate", "dgs10", "gs3m"], "series", "value")
 
 
 def index_input(spark: SparkSession, sf_dir: str) -> DataFrame:
