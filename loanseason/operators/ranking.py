@@ -219,8 +219,9 @@ def metric_table(
     )
     recalls = recall_at_levels(scored, groups, ks, keys, parts)
     names = {float(k): f"{int(k * 100)}pct" for k in ks}
+    share = F.col("captured") / F.greatest("positives", F.lit(1))
     wide = recalls.groupBy(*keys).agg(
-        *[F.round(F.max(F.when(F.col("k") == k, F.col("recall"))), 4).alias(f"recall_at_{n}") for k, n in names.items()]
+        *[F.round(F.max(F.when(F.col("k") == k, share)), 4).alias(f"recall_at_{n}") for k, n in names.items()]
     )
     random = [F.lit(k).alias(f"random_recall_at_{n}") for k, n in names.items()]
     return base.join(F.broadcast(wide), list(keys)).select("*", *random)
