@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import quarter_key
 from ..functions.nulls import latest, ratio
-from ..session import broadcast_if_small, stored
+from ..session import BROADCAST_ROW_LIMIT, fits_broadcast, stored
 
 RATE_SERIES = ("mortgage30us", "unrate", "dgs10", "gs3m")
 FILLED_SERIES = ("mortgage30us", "dgs10", "gs3m")
@@ -114,52 +114,62 @@ def unique_lookup(table: DataFrame, keys: Sequence[str], latest_by: str | None =
     return fixed
 
 
+def _attach(months: DataFrame, lookup: DataFrame, keys: dict[str, Column], wanted: Column, small: bool) -> DataFrame:
+    """Left join a lookup on computed keys; rows that are not ``wanted`` stay unmatched.
+
+    A small lookup is broadcast. Otherwise the join shuffles, and as unmatched rows would
+    all meet under one NULL key, those are dealt out over keys that match nothing.
+    """
+    first = next(iter(keys))
+    computed = {f"_m_{k}": value for k, value in keys.items()}
+    computed[f"_m_{first}"] = F.when(wanted, keys[first])
+    if small:
+        side, match = F.broadcast(lookup), F.lit(True)
+    else:
+        matchable = wanted & keys[first].isNotNull()
+        computed[f"_m_{first}"] = F.when(matchable, keys[first]).otherwise("")
+        computed["_deal"] = F.when(matchable, 0).otherwise(F.pmod(F.xxhash64("LOAN_ID"), F.lit(4096)) + 1)
+        side = lookup.withColumn("_l_deal", F.lit(0))
+        match = F.col("_deal") == F.col("_l_deal")
+    for k in keys:
+        match = match & (F.col(f"_m_{k}") == F.col(f"_l_{k}"))
+    renamed = side.withColumnsRenamed({k: f"_l_{k}" for k in keys})
+    joined = months.withColumns(computed).join(renamed, match, "left")
+    return joined.drop(*computed, *[f"_l_{k}" for k in keys], "_l_deal")
+
+
 def with_market(
     months: DataFrame,
     rates: DataFrame | None,
     price_index: DataFrame | None,
     wanted: Column,
+    broadcast_rows: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
-    """Add the market series of each monthly row; rows that are not ``wanted`` stay unmatched."""
+    """Add the market series of each monthly row; rows that are not ``wanted`` get none."""
     out = months
     if rates is not None:
-        lookup = unique_lookup(rates, ["period_mmyyyy"], "date" if "date" in rates.columns else None).select(
-            F.col("period_mmyyyy").alias("_period"),
+        table = unique_lookup(rates, ["period_mmyyyy"], "date" if "date" in rates.columns else None)
+        lookup = table.select(
+            F.col("period_mmyyyy").alias("period"),
             F.col("mortgage30us").alias("macro_mortgage30us"),
             F.col("unrate").alias("macro_unrate"),
             F.col("dgs10").alias("macro_dgs10"),
             (F.col("dgs10") - F.col("gs3m")).alias("macro_term_spread_10y3m"),
         )
-        out = out.withColumn("_act", F.when(wanted, F.col("ACT_PERIOD")))
-        out = out.join(broadcast_if_small(lookup), F.col("_act") == F.col("_period"), "left").drop("_act", "_period")
+        out = _attach(out, lookup, {"period": F.col("ACT_PERIOD")}, wanted, fits_broadcast(table, broadcast_rows))
     if price_index is not None:
-        index = unique_lookup(price_index, ["state", "quarter_key"])
-        current = index.select(
-            F.col("state").alias("_state_c"),
-            F.col("quarter_key").alias("_quarter_c"),
+        table = unique_lookup(price_index, ["state", "quarter_key"])
+        small = fits_broadcast(table, broadcast_rows)
+        current = table.select(
+            "state",
+            F.col("quarter_key").alias("quarter"),
             F.col("hpi_index").alias("hpi_state_curr"),
             F.col("hpi_yoy").alias("hpi_state_growth_1y"),
         )
-        original = index.select(
-            F.col("state").alias("_state_o"),
-            F.col("quarter_key").alias("_quarter_o"),
-            F.col("hpi_index").alias("hpi_state_orig"),
-        )
-        out = out.withColumns(
-            {
-                "_state": F.when(wanted, F.col("STATE")),
-                "_quarter_now": quarter_key(F.col("ACT_PERIOD")),
-                "_quarter_then": quarter_key(F.col("ORIG_DATE")),
-            }
-        )
-        out = out.join(
-            broadcast_if_small(current),
-            (F.col("_state") == F.col("_state_c")) & (F.col("_quarter_now") == F.col("_quarter_c")),
-            "left",
-        ).join(
-            broadcast_if_small(original),
-            (F.col("_state") == F.col("_state_o")) & (F.col("_quarter_then") == F.col("_quarter_o")),
-            "left",
+        original = table.select(
+            "state", F.col("quarter_key").alias("quarter"), F.col("hpi_index").alias("hpi_state_orig")
         )
-        out = out.drop("_state", "_state_c", "_state_o", "_quarter_now", "_quarter_c", "_quarter_then", "_quarter_o")
+        for lookup, date in ((current, "ACT_PERIOD"), (original, "ORIG_DATE")):
+            keys = {"state": F.col("STATE"), "quarter": quarter_key(F.col(date))}
+            out = _attach(out, lookup, keys, wanted, small)
     return out

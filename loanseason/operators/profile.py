@@ -43,63 +43,70 @@ def panel_profile(panel: DataFrame) -> DataFrame:
     )
 
 
-def month_runs(rows: DataFrame) -> DataFrame:
-    """Per loan: rows, distinct months, months spanned, and runs of adjacent months.
+def month_runs(rows: DataFrame, subsets: dict[str, Column]) -> DataFrame:
+    """Per loan and subset of its rows: rows, distinct months, months spanned, runs of adjacent months.
 
     The months of a loan are kept as bits of a few integers, so rows combine before the
     shuffle and a loan with any number of repeated rows still costs a few numbers. A run
-    starts at a set bit whose lower neighbour is unset.
+    starts at a set bit whose lower neighbour is unset. All subsets share one pass.
     """
     month = month_index(F.col("ACT_PERIOD")).cast("long")
     word, bit = F.floor(month / _WORD), F.pmod(month, F.lit(_WORD)).cast("int")
-    words = rows.groupBy("vintage", "LOAN_ID", word.alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"),
-        F.count("*").alias("rows"),
-        F.min(month).alias("first"),
-        F.max(month).alias("last"),
-    )
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
     before = W.partitionBy("vintage", "LOAN_ID").orderBy("word")
     adjacent = F.lag("word").over(before) == F.col("word") - 1
-    carry = F.when(adjacent, F.shiftrightunsigned(F.lag("bits").over(before), _WORD - 1)).otherwise(0)
-    shifted = F.shiftleft("bits", 1).bitwiseOR(F.coalesce(carry, F.lit(0)))
-    starts = F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not(shifted)))
-    return (
-        words.withColumn("starts", starts)
-        .groupBy("vintage", "LOAN_ID")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.sum(F.bit_count("bits")).alias("months"),
-            (F.max("last") - F.min("first") + 1).alias("span"),
-            F.sum("starts").alias("runs"),
-        )
-    )
+
+    packed, starts, merged = [], {}, []
+    for name, inside in subsets.items():
+        packed += [
+            F.coalesce(F.bit_or(F.when(inside, mask)), F.lit(0)).alias(f"bits{name}"),
+            F.count_if(inside).alias(f"rows{name}"),
+            F.min(F.when(inside, month)).alias(f"from{name}"),
+            F.max(F.when(inside, month)).alias(f"to{name}"),
+        ]
+        bits = F.col(f"bits{name}")
+        carry = F.when(adjacent, F.shiftrightunsigned(F.lag(bits).over(before), _WORD - 1)).otherwise(0)
+        shifted = F.shiftleft(bits, 1).bitwiseOR(F.coalesce(carry, F.lit(0)))
+        starts[f"starts{name}"] = F.bit_count(bits.bitwiseAND(F.bitwise_not(shifted)))
+        merged += [
+            F.sum(f"rows{name}").alias(f"rows{name}"),
+            F.sum(F.bit_count(bits)).alias(f"months{name}"),
+            (F.max(f"to{name}") - F.min(f"from{name}") + 1).alias(f"span{name}"),
+            F.sum(f"starts{name}").alias(f"runs{name}"),
+        ]
+    words = rows.groupBy("vintage", "LOAN_ID", word.alias("word")).agg(*packed)
+    return words.withColumns(starts).groupBy("vintage", "LOAN_ID").agg(*merged)
 
 
 def panel_gaps(panel: DataFrame) -> DataFrame:
     """Contiguity of the monthly rows per vintage, and of the months with a balance."""
-
-    def gaps(rows: DataFrame, suffix: str) -> DataFrame:
-        return month_runs(rows).groupBy("vintage").agg(
-            F.count("*").alias(f"loans{suffix}"),
-            F.count_if(F.col("runs") > 1).alias(f"loans_with_gaps{suffix}"),
-            F.sum(F.col("runs") - 1).alias(f"gaps{suffix}"),
-            F.sum(F.col("span") - F.col("months")).alias(f"missing_months{suffix}"),
-            F.sum(F.col("rows") - F.col("months")).alias(f"repeated_rows{suffix}"),
+    subsets = {"": F.lit(True), "_reported": F.col("CURRENT_UPB").isNotNull()}
+    out = []
+    for s in subsets:
+        present, runs = F.col(f"rows{s}") > 0, F.col(f"runs{s}")
+        out += [
+            F.count_if(present).alias(f"loans{s}"),
+            F.count_if(runs > 1).alias(f"loans_with_gaps{s}"),
+            F.sum(F.when(present, runs - 1).otherwise(0)).alias(f"gaps{s}"),
+            F.sum(F.coalesce(F.col(f"span{s}") - F.col(f"months{s}"), F.lit(0))).alias(f"missing_months{s}"),
+            F.sum(F.col(f"rows{s}") - F.col(f"months{s}")).alias(f"repeated_rows{s}"),
+        ]
+    return month_runs(panel, subsets).groupBy("vintage").agg(*out)
+
+
+def histogram(panel: DataFrame, widths: dict[str, int]) -> DataFrame:
+    """Counts per bucket of equal width for several columns in one pass; absent values are left out."""
+    cells = [
+        F.when(
+            F.col(c).isNotNull(),
+            F.struct(F.lit(c).alias("column"), (F.floor(F.col(c) / w) * w).cast("int").alias("bucket")),
         )
-
-    every = gaps(panel, "")
-    reported = gaps(panel.where(F.col("CURRENT_UPB").isNotNull()), "_reported")
-    return every.join(reported, "vintage", "left")
-
-
-def histogram(panel: DataFrame, column: str, width: int) -> DataFrame:
-    """Counts per bucket of equal width; absent values are left out."""
-    bucket = (F.floor(F.col(column) / width) * width).cast("int")
+        for c, w in widths.items()
+    ]
     return (
-        panel.where(F.col(column).isNotNull())
-        .groupBy(bucket.alias("bucket"))
+        panel.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+        .groupBy("cell.column", "cell.bucket")
         .agg(F.count("*").alias("n"))
-        .select(F.lit(column).alias("column"), "bucket", "n")
     )
 
 

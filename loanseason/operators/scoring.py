@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import SplitBands
@@ -69,33 +70,29 @@ def apply_scorecards(
 
 def attributions(features: DataFrame, card: Scorecard) -> DataFrame:
     """Signed contribution of every feature to every loan's score, relative to the average loan."""
-    means = _means(features, card)
-    parts = [F.round(F.lit(t.weight) * (t.value() - F.lit(means[t.feature])), 6).alias(t.feature) for t in card.terms]
-    return features.select("LOAN_ID", "vintage", *parts)
+    means = _means(features, [card])
+    return features.select("LOAN_ID", "vintage", *[F.round(v, 6).alias(t.feature) for t, v in _centred(card, means)])
 
 
 def mean_attributions(features: DataFrame, cards: Sequence[Scorecard], top: int = 20) -> DataFrame:
-    """Mean absolute contribution per task and feature, and its rank.
+    """Mean absolute contribution per task and feature: the ``top`` largest of each task.
 
-    Two passes over the rows, each a plain aggregate; in between only one mean per
-    feature reaches the driver.
+    Two passes over the rows, each a plain aggregate over all cards; in between only one
+    mean per feature reaches the driver, and afterwards there is one row per task and
+    feature.
     """
-    out = None
-    for card in cards:
-        means = _means(features, card)
-        sizes = features.agg(
-            *[F.avg(F.abs(F.lit(t.weight) * (t.value() - F.lit(means[t.feature])))).alias(t.feature) for t in card.terms]
-        )
-        named = [t.feature for t in card.terms]
-        long = (
-            sizes.select(F.lit(card.task).alias("task"), "*")
-            .unpivot(["task"], named, "feature", "mean_abs")
-            .select("task", "feature", F.round("mean_abs", 6).alias("mean_abs"))
-            .orderBy(F.desc("mean_abs"), "feature")
-            .limit(top)
-        )
-        out = long if out is None else out.unionByName(long)
-    return out
+    means = _means(features, cards)
+    named = [(card.task, t.feature, v) for card in cards for t, v in _centred(card, means)]
+    sizes = features.agg(*[F.avg(F.abs(v)).alias(f"size_{i}") for i, (_, _, v) in enumerate(named)])
+    cells = F.array(
+        *[
+            F.struct(F.lit(task).alias("task"), F.lit(f).alias("feature"), F.round(f"size_{i}", 6).alias("mean_abs"))
+            for i, (task, f, _) in enumerate(named)
+        ]
+    )
+    place = F.row_number().over(W.partitionBy("task").orderBy(F.desc("mean_abs"), "feature"))
+    long = sizes.select(F.explode(cells).alias("c")).select("c.*")
+    return long.withColumn("_place", place).where(F.col("_place") <= top).drop("_place")
 
 
 def compare_attributions(table: DataFrame, left: str = "delinq", right: str = "prepay", top: int = 25) -> DataFrame:
@@ -110,6 +107,11 @@ def compare_attributions(table: DataFrame, left: str = "delinq", right: str = "p
     )
 
 
-def _means(features: DataFrame, card: Scorecard) -> dict[str, float]:
-    row = features.agg(*[F.avg(t.value()).alias(t.feature) for t in card.terms]).first()
-    return {t.feature: float(row[t.feature] or 0.0) for t in card.terms}
+def _means(features: DataFrame, cards: Sequence[Scorecard]) -> dict[Term, float]:
+    terms = list(dict.fromkeys(t for card in cards for t in card.terms))
+    row = features.agg(*[F.avg(t.value()).alias(f"m_{i}") for i, t in enumerate(terms)]).first()
+    return {t: float(row[f"m_{i}"] or 0.0) for i, t in enumerate(terms)}
+
+
+def _centred(card: Scorecard, means: dict[Term, float]) -> list[tuple[Term, Column]]:
+    return [(t, F.lit(t.weight) * (t.value() - F.lit(means[t]))) for t in card.terms]

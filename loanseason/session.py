@@ -79,10 +79,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Mark a materialised lookup for broadcasting only when its row count allows it.
-
-    Above the limit the plain frame comes back and the join shuffles instead.
-    """
-    fits = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if fits else df
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Whether a stored lookup is small enough to send to every executor."""
+    return df.limit(limit + 1).count() <= limit

@@ -136,11 +136,6 @@ def effective_age(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def histogram(spark: SparkSession, sf: str) -> DataFrame:
-    panel = tables.panel(spark, sf)
-    return profile.histogram(panel, "CSCORE_B", 20).unionByName(profile.histogram(panel, "OLTV", 10))
-
-
 def eligibility(spark: SparkSession, sf: str) -> DataFrame:
     panel = tables.panel(spark, sf)
     both = loans.eligibility(panel)
@@ -282,7 +277,7 @@ QUERIES: dict[str, Query] = {
     "effective_age": effective_age,
     "panel_profile": _panel(profile.panel_profile),
     "panel_gaps": _panel(profile.panel_gaps),
-    "histogram": histogram,
+    "histogram": _panel(lambda p: profile.histogram(p, {"CSCORE_B": 20, "OLTV": 10})),
     "status_freq": _panel(lambda p: profile.frequency(p, "DLQ_STATUS", 10)),
     "exit_freq": _panel(lambda p: profile.frequency(p, "ZB_CODE")),
     "lifetime_outcome": _panel(profile.lifetime_outcome),
