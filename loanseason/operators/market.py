@@ -126,16 +126,15 @@ def _attach(months: DataFrame, lookup: DataFrame, keys: dict[str, Column], wante
     if small:
         side, match = F.broadcast(lookup), F.lit(True)
     else:
-        matchable = wanted & keys[first].isNotNull()
-        computed[f"_m_{first}"] = F.when(matchable, keys[first]).otherwise("")
-        computed["_deal"] = F.when(matchable, 0).otherwise(F.pmod(F.xxhash64("LOAN_ID"), F.lit(4096)) + 1)
-        side = lookup.withColumn("_l_deal", F.lit(0))
-        match = F.col("_deal") == F.col("_l_deal")
+        computed["_ok"] = wanted & keys[first].isNotNull()
+        dealt = F.concat(F.lit("~"), F.pmod(F.xxhash64("LOAN_ID"), F.lit(4096)).cast("string"))
+        computed[f"_m_{first}"] = F.when(computed["_ok"], keys[first]).otherwise(dealt)
+        side, match = lookup, F.col("_ok")
     for k in keys:
         match = match & (F.col(f"_m_{k}") == F.col(f"_l_{k}"))
     renamed = side.withColumnsRenamed({k: f"_l_{k}" for k in keys})
     joined = months.withColumns(computed).join(renamed, match, "left")
-    return joined.drop(*computed, *[f"_l_{k}" for k in keys], "_l_deal")
+    return joined.drop(*computed, *[f"_l_{k}" for k in keys])
 
 
 def with_market(
