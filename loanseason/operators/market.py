@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import quarter_key
 from ..functions.nulls import latest, ratio
-from ..session import BROADCAST_ROW_LIMIT, fits_broadcast, stored
+from ..session import BROADCAST_ROW_LIMIT, stored
 
 RATE_SERIES = ("mortgage30us", "unrate", "dgs10", "gs3m")
 FILLED_SERIES = ("mortgage30us", "dgs10", "gs3m")
@@ -95,23 +95,20 @@ def price_index_changes(index: DataFrame, calendar: bool = False) -> DataFrame:
     )
 
 
-def unique_lookup(table: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
-    """Materialise a lookup table with at most one row per key.
+def unique_lookup(table: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> tuple[DataFrame, int]:
+    """Store a lookup table with one row per key; return it with its number of rows.
 
     A repeated key would multiply monthly rows. With ``latest_by`` the latest row
     wins; without it a repeated key is an error.
     """
-    rest = [c for c in table.columns if c not in keys]
-    known = table.dropna(subset=list(keys))
-    if latest_by is not None:
-        newest = F.max_by(F.struct(*rest), F.col(latest_by))
-        known = known.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*")
-        return stored(known, "lookup")
-    fixed = stored(known, "lookup")
-    repeated = fixed.groupBy(*keys).count().where("count > 1").take(1)
-    if repeated:
-        raise ValueError(f"lookup table repeats key {tuple(repeated[0][k] for k in keys)}")
-    return fixed
+    row = F.struct(*[c for c in table.columns if c not in keys])
+    chosen = F.max_by(row, F.col(latest_by)) if latest_by else F.first(row)
+    known = table.dropna(subset=list(keys)).groupBy(*keys).agg(chosen.alias("_row"), F.count("*").alias("_times"))
+    fixed, seen = stored(known.select(*keys, "_row.*", "_times"), "lookup", most=F.max("_times"))
+    if latest_by is None and (seen["most"] or 0) > 1:
+        repeated = fixed.where("_times > 1").first()
+        raise ValueError(f"lookup table repeats key {tuple(repeated[k] for k in keys)}")
+    return fixed.drop("_times"), seen["rows"]
 
 
 def _attach(months: DataFrame, lookup: DataFrame, keys: dict[str, Column], wanted: Column, small: bool) -> DataFrame:
@@ -147,7 +144,7 @@ def with_market(
     """Add the market series of each monthly row; rows that are not ``wanted`` get none."""
     out = months
     if rates is not None:
-        table = unique_lookup(rates, ["period_mmyyyy"], "date" if "date" in rates.columns else None)
+        table, size = unique_lookup(rates, ["period_mmyyyy"], "date" if "date" in rates.columns else None)
         lookup = table.select(
             F.col("period_mmyyyy").alias("period"),
             F.col("mortgage30us").alias("macro_mortgage30us"),
@@ -155,10 +152,9 @@ def with_market(
             F.col("dgs10").alias("macro_dgs10"),
             (F.col("dgs10") - F.col("gs3m")).alias("macro_term_spread_10y3m"),
         )
-        out = _attach(out, lookup, {"period": F.col("ACT_PERIOD")}, wanted, fits_broadcast(table, broadcast_rows))
+        out = _attach(out, lookup, {"period": F.col("ACT_PERIOD")}, wanted, size <= broadcast_rows)
     if price_index is not None:
-        table = unique_lookup(price_index, ["state", "quarter_key"])
-        small = fits_broadcast(table, broadcast_rows)
+        table, size = unique_lookup(price_index, ["state", "quarter_key"])
         current = table.select(
             "state",
             F.col("quarter_key").alias("quarter"),
@@ -170,5 +166,5 @@ def with_market(
         )
         for lookup, date in ((current, "ACT_PERIOD"), (original, "ORIG_DATE")):
             keys = {"state": F.col("STATE"), "quarter": quarter_key(F.col(date))}
-            out = _attach(out, lookup, keys, wanted, small)
+            out = _attach(out, lookup, keys, wanted, size <= broadcast_rows)
     return out

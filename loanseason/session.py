@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a lookup table may have and still be sent to every executor. Lookup rows
@@ -68,17 +68,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
     """Write to a new table below the shared folder and read it back.
 
     Unlike a checkpoint the result is columnar and carries its true size, which lets
-    the planner choose join sides by itself.
+    the planner choose join sides by itself. ``measures`` are aggregates taken while the
+    rows are written, so they cost no further pass.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether a stored lookup is small enough to send to every executor."""
-    return df.limit(limit + 1).count() <= limit
+    seen = Observation()
+    counted = df.observe(seen, F.count("*").alias("rows"), *[m.alias(n) for n, m in measures.items()])
+    counted.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
