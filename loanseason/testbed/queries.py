@@ -243,6 +243,12 @@ def joint_scores(spark: SparkSession, sf: str) -> DataFrame:
     return models.score_with_network(frame, fitted, models.fit_network(frame, fitted, NETWORK))
 
 
+def network_history(spark: SparkSession, sf: str) -> DataFrame:
+    frame = _model_frame(spark, sf)
+    fitted = prep.Preprocessor.fit(frame.where("split = 'train'"))
+    return models.network_history(models.fit_network(frame, fitted, NETWORK), spark)
+
+
 def importance(spark: SparkSession, sf: str) -> DataFrame:
     frame, inputs, model = _trees(spark, sf, "delinq")
     return models.tree_importance(model, inputs, frame)
@@ -328,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "attribution_compare": lambda s, d: scoring.compare_attributions(materialise(attribution_table(s, d))),
     "gbt_scores": gbt_scores,
     "joint_scores": joint_scores,
+    "network_history": network_history,
     "importance": importance,
     "training_curve": training_curve,
     "attribution_trees": tree_attributions,

@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, con, key):
 
 def test_registry_is_consistent():
     only_rows = set(contract.queries()) - set(contract.oracle_sql())
-    assert only_rows == {"gbt_scores", "joint_scores", "importance", "training_curve", "attribution_trees"}
+    assert only_rows == {"gbt_scores", "joint_scores", "network_history", "importance", "training_curve", "attribution_trees"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
