@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanseason.llm import exact_dedup, mixing
-from loanseason.llm.common import table
+from loanseason.llm import exact_dedup, mixing, toxicity
+from loanseason.llm.common import fold_of, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,11 +14,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 5) == 0, F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
