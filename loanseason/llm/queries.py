@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import exact_dedup, mixing, toxicity
+from loanseason.llm import exact_dedup, mixing, near_dedup, toxicity
 from loanseason.llm.common import fold_of, table
 
 
@@ -14,6 +14,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(
+        table(spark, sf_dir, "documents"), settings=near_dedup.NearSettings(words=2, percent=80)
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -27,6 +33,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
