@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import exact_dedup, mixing, near_dedup, toxicity
+from loanseason.llm import exact_dedup, mixing, near_dedup, pieces, toxicity
 from loanseason.llm.common import fold_of, table
 
 
@@ -20,6 +20,17 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded = pieces.decode(encoded)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -34,6 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from loanseason.llm.oracles import ORACLES
-from loanseason.llm.queries import QUERIES
+import corpus_pipeline
+from loanseason.llm import oracles, queries
 
-__all__ = ["ORACLES", "QUERIES"]
+QUERIES = queries.QUERIES | {"pipeline": corpus_pipeline.run}
+ORACLES = oracles.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
