@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import exact_dedup, mixing, near_dedup, pieces, toxicity
+from loanseason.llm import exact_dedup, language_id, mixing, near_dedup, pieces, toxicity
 from loanseason.llm.common import fold_of, table
 
 
@@ -14,6 +14,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs)
+    held_out = F.coalesce(fold_of(F.col("doc_id"), 4) == 2, F.lit(False))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(
         table(spark, sf_dir, "documents"), settings=near_dedup.NearSettings(words=2, percent=80)
@@ -44,6 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_toxicity": op9_toxicity,
