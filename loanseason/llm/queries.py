@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import exact_dedup, language_id, mixing, near_dedup, pieces, toxicity
+from loanseason.llm import exact_dedup, language_id, mixing, near_dedup, pieces, pii, toxicity
 from loanseason.llm.common import fold_of, table
 
 
@@ -40,6 +40,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -56,6 +62,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
