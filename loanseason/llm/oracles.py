@@ -46,7 +46,22 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM served GROUP BY doc_id, size, source_size, target, place, ticket
 """
 
+TOP_K = """
+WITH whole AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND coalesce(list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding]), true)
+), scored AS (
+    SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.v, p.v)::BIGINT AS score
+    FROM whole q JOIN whole p ON q.vec_id % 50 = 0 AND p.vec_id <> q.vec_id AND len(p.v) = len(q.v)
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+) WHERE place <= 5
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
+    "op2_exact_top_k": TOP_K,
     "op10_mixing": MIXING,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import exact_dedup, language_id, mixing, near_dedup, pieces, pii, toxicity
+from loanseason.llm import cover_tree, exact_dedup, language_id, mixing, near_dedup, pieces, pii, toxicity
 from loanseason.llm.common import fold_of, table
 
 
@@ -14,6 +14,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs)
@@ -59,6 +63,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_language_id": op3_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_sentencepiece": op7_sentencepiece,
