@@ -60,8 +60,25 @@ SELECT query_id, place::INTEGER AS rank, vec_id, score FROM (
 ) WHERE place <= 5
 """
 
+SUBSTRING_DEDUP = f"""
+WITH split AS (SELECT doc_id, row_number() OVER () AS line, {_WORDS} AS w FROM documents),
+starts AS (
+    SELECT line, pos, array_to_string(w[pos:pos + 34], ' ') AS phrase FROM split, range(1, len(w) - 33) AS r(pos)
+), again AS (
+    SELECT line, pos FROM starts QUALIFY count(*) OVER (PARTITION BY phrase) > 1
+), gone AS (
+    SELECT DISTINCT line, pos + step AS place FROM again, range(35) AS s(step)
+), per_line AS (
+    SELECT split.line, list(place) AS places FROM split JOIN gone USING (line) GROUP BY split.line
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF places IS NULL OR NOT list_contains(places, i)], ' ')) AS kept_sha256
+FROM split LEFT JOIN per_line USING (line)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_exact_top_k": TOP_K,
+    "op4_substring_dedup": SUBSTRING_DEDUP,
     "op10_mixing": MIXING,
 }

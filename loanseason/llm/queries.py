@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import cover_tree, exact_dedup, language_id, mixing, near_dedup, pieces, pii, toxicity
-from loanseason.llm.common import fold_of, table
+from loanseason.llm import cover_tree, exact_dedup, language_id, mixing, near_dedup, pieces, pii, repeats, toxicity
+from loanseason.llm.common import fold_of, table, word_count
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,26 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = repeats.repeated_passages(docs).select(
+        "k1", "k2", "n_removed", F.sha2("kept_text", 256).alias("part_sha256")
+    )
+    whole = repeats.keyed(docs.select("doc_id", "text")).select(
+        "doc_id",
+        "k1",
+        "k2",
+        word_count(F.col("text")).alias("n_words"),
+        F.sha2(repeats.joined_words(F.col("text")), 256).alias("whole_sha256"),
+    )
+    return whole.join(kept, repeats.KEY, "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("part_sha256", "whole_sha256").alias("kept_sha256"),
+    )
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(
         table(spark, sf_dir, "documents"), settings=near_dedup.NearSettings(words=2, percent=80)
@@ -65,6 +85,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_exact_top_k": op2_exact_top_k,
     "op3_language_id": op3_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_pii": op8_pii,
