@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanseason.llm.common import folded_words_of, without
@@ -161,6 +161,59 @@ def _confirmed(pairs: DataFrame, known: DataFrame, settings: NearSettings) -> Da
     return stored(links, "near-links")[0]
 
 
+def _shingler(settings: NearSettings):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            sets = [shingle_set(text, settings.words, hashes).view(np.int64) for text in batch.column(1).to_pylist()]
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            values = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
+            listed = pa.ListArray.from_arrays(pa.array(offsets), values)
+            yield pa.RecordBatch.from_arrays([batch.column(0), listed], names=["id", "shingles"])
+
+    return cut
+
+
+def _unconnected(members: DataFrame, joined: DataFrame) -> tuple[DataFrame, int]:
+    """Members of buckets that hold more than one component: (bucket, id, component)."""
+    placed = members.select("bucket", "id").join(joined.withColumnRenamed("node", "id"), "id", "left")
+    placed, _ = stored(placed.withColumn("component", F.coalesce("component", "id")), "near-placed")
+    apart = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b")
+    rows, seen = stored(placed.join(apart.select("bucket"), "bucket"), "near-open")
+    return rows, seen["rows"]
+
+
+def _shapes(rows: DataFrame, known: DataFrame, settings: NearSettings) -> DataFrame:
+    """Of texts not yet connected: set size and how many shingles another such text has as well.
+
+    No two of them can share more than the smaller of these numbers. An id with several texts is
+    marked ``free``: nothing is ruled out for it.
+    """
+    texts = known.join(rows.select("id").distinct(), "id", "left_semi").select("id", "text")
+    cut, _ = stored(texts.mapInArrow(_shingler(settings), "id long, shingles array<long>"), "near-shingles")
+    alone = (
+        cut.select("id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("times"), F.min("id").alias("id"))
+        .filter("times = 1")
+        .groupBy("id")
+        .agg(F.count("*").alias("own"))
+    )
+    sizes = cut.groupBy("id").agg(F.max(F.size("shingles")).alias("n"), (F.count("*") > 1).alias("free"))
+    shapes = sizes.join(alone, "id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
+    return stored(shapes.select("id", "n", "common", "free"), "near-shapes")[0]
+
+
+def _can_link(a: str, b: str, percent: int) -> Column:
+    """Whether two sets may be similar enough, from their sizes and what they can share at most."""
+    share = F.least(f"{a}.common", f"{b}.common") * (100 + percent)
+    return F.col(f"{a}.free") | F.col(f"{b}.free") | (share >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent)
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: NearSettings = NearSettings()
 ) -> DataFrame:
@@ -168,9 +221,12 @@ def near_groups(
 
     Texts with equal shingle sets are one class from the start, so copies meet in a count and
     nowhere else. The classes' representatives are banded. In a bucket every member is compared
-    with the first and the last one; what these links leave unconnected is then compared across
-    components, never within one. So every pair that shares a bucket is either tested or already
-    connected, and no group emits all its pairs. Links are confirmed on the sets of whole texts.
+    with the first one. Members that this leaves unconnected are compared with the one of them
+    that shares most with the rest, and what is unconnected still is compared across components.
+    Before that, pairs go that cannot be links: shingles that no other unconnected text has
+    bound the intersection from above. So every pair that shares a bucket is tested, ruled out
+    by an exact bound or already connected, and no group emits all its pairs. Links are
+    confirmed on the sets of whole texts.
 
     The component is named by its smallest id. Texts that are NULL or without words have no
     shingles and no links. A row with a NULL id has no name: it stays alone, with NULL as
@@ -196,43 +252,48 @@ def near_groups(
     )
     banded = heads.select("id", F.explode(keys).alias("bucket"))
     shared = (
-        banded.groupBy("bucket")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .filter(F.col("first") < F.col("last"))
+        banded.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     )
-    shared, _ = stored(shared, "near-buckets")
+    shared, _ = stored(shared.select("bucket", "first"), "near-buckets")
     members, _ = stored(banded.join(shared, "bucket"), "near-members")
 
-    chosen = members.select("id").distinct()
-    known = rows.join(heads.join(chosen, "id", "left_semi"), "id")
+    known = rows.join(heads.join(members.select("id").distinct(), "id", "left_semi"), "id")
     known, _ = stored(known, "near-known")
-    hubs = members.select(F.explode(F.array("first", "last")).alias("u"), F.col("id").alias("v"))
-    tried, _ = stored(
-        hubs.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(),
-        "near-tried",
-    )
-    links = _confirmed(tried, known, settings)
-    joined, _ = stored(components(links), "near-components")
+    tried, _ = stored(members.filter("first <> id").select(*_ordered("first", "id")).distinct(), "near-tried")
+    joined, _ = stored(components(_confirmed(tried, known, settings)), "near-components")
 
-    placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component")
-    )
-    placed, _ = stored(placed, "near-placed")
-    apart = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b")
-    open_rows, still = stored(placed.join(apart.select("bucket"), "bucket"), "near-open")
-    if still["rows"]:
-        one = open_rows.select("bucket", F.col("id").alias("x"), F.col("component").alias("cx"))
-        two = open_rows.select("bucket", F.col("id").alias("y"), F.col("component").alias("cy"))
-        across = (
-            one.join(two, "bucket")
-            .filter("cx < cy")
-            .select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+    def extended(pairs: DataFrame) -> DataFrame:
+        links = _confirmed(pairs, known, settings)
+        stars = joined.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        return stored(components(stars.union(links)), "near-components")[0]
+
+    apart, left = _unconnected(members, joined)
+    if left:
+        shapes = _shapes(apart, known, settings)
+        possible = F.col("free") | (100 * F.col("common") >= settings.percent * F.col("n"))
+        shaped, _ = stored(apart.join(shapes, "id").filter(possible), "near-shaped")
+        hub = shaped.groupBy("bucket").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("part"), "id")).alias("hub"))
+        hub, _ = stored(hub.select("bucket", F.col("hub.id").alias("id")), "near-hubs")
+        hubs = hub.join(shaped, ["bucket", "id"]).alias("h")
+        near_hub = hubs.join(shaped.alias("m"), "bucket").filter(
+            (F.col("h.component") != F.col("m.component")) & _can_link("h", "m", settings.percent)
+        )
+        fresh = near_hub.select(*_ordered("h.id", "m.id")).distinct().join(tried, ["u", "v"], "left_anti")
+        fresh, _ = stored(fresh, "near-tried")
+        joined = extended(fresh)
+        apart, left = _unconnected(shaped, joined)
+    if left:
+        last = apart.join(shapes, "id")
+        across = last.alias("x").join(last.alias("y"), "bucket").filter(
+            (F.col("x.component") < F.col("y.component")) & _can_link("x", "y", settings.percent)
+        )
+        untested = (
+            across.select(*_ordered("x.id", "y.id"))
             .distinct()
             .join(tried, ["u", "v"], "left_anti")
+            .join(fresh, ["u", "v"], "left_anti")
         )
-        more = _confirmed(across, known, settings)
-        stars = joined.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-        joined, _ = stored(components(stars.union(more)), "near-components")
+        joined = extended(untested)
 
     settled = classes.join(joined.withColumnRenamed("node", "head"), "head", "left").select(
         "set_hash", F.coalesce("component", "head").alias("component")
