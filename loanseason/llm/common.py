@@ -5,7 +5,10 @@ from __future__ import annotations
 import binascii
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,3 +74,16 @@ def in_slices(frames: Iterable[pd.DataFrame], text: str, most: int = 4_000_000)
             continue
         for _, part in frame.groupby(piece, sort=True):
             yield part
+
+
+def cut_batch(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch whose sizes add up to about ``most``, one row at least, to bound working memory."""
+    if batch.num_rows:
+        marks = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)) // most
+        edges = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:]):
+            yield batch.slice(start, stop - start)
+
+
+def cut_by_text(batch: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    return cut_batch(batch, pc.binary_length(batch.column(column)), most)

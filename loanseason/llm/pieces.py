@@ -11,20 +11,25 @@ from __future__ import annotations
 import math
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanseason.llm.common import without
+from loanseason.llm.common import cut_batch, cut_by_text, without
 from loanseason.session import stored
 
 MODEL_PATH = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 _NONE = -math.inf
-_REMEMBERED = 200_000
+_REMEMBERED = 300_000
+#: Characters of text, or ids, that are worked on at a time.
+_AT_ONCE = 4_000_000
 #: A segment is a run of spaces with what follows; pieces hold spaces only in front, so none crosses its ends.
 _SEGMENT = re.compile(r" *[^ ]+| +")
 
@@ -97,16 +102,46 @@ def best_path(text: str, begin: int, end: int, vocabulary: Vocabulary) -> tuple[
     return best[size], ids
 
 
+class Segmenter:
+    """Best segmentations, with all occurrences of pieces found by one automaton."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self.automaton = ahocorasick.Automaton()
+        for piece, number in vocabulary.ids.items():
+            self.automaton.add_word(piece, (len(piece), vocabulary.scores[piece], number))
+        self.automaton.make_automaton()
+        self.single = frozenset(p for p in vocabulary.ids if len(p) == 1)
+
+    def path(self, segment: str) -> tuple[float, list[int]]:
+        """The same as ``best_path`` over a whole segment; pieces come in order of their ends."""
+        if not self.single.issuperset(segment):
+            return best_path(segment, 0, len(segment), self.vocabulary)
+        size = len(segment)
+        best, origin, chosen = [_NONE] * (size + 1), [0] * (size + 1), [0] * (size + 1)
+        best[0] = 0.0
+        for last, (length, score, number) in self.automaton.iter(segment):
+            start = last + 1 - length
+            total = best[start] + score
+            if total > best[last + 1]:
+                best[last + 1], origin[last + 1], chosen[last + 1] = total, start, number
+        ids, stop = [], size
+        while stop:
+            ids.append(chosen[stop])
+            stop = origin[stop]
+        ids.reverse()
+        return best[size], ids
+
+
 class Encoder(dict):
     """Ids, packed as 32-bit integers, of segments; forgets all when it has met too many."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
-        self.vocabulary = vocabulary
+        self.segmenter = Segmenter(vocabulary)
 
     def __missing__(self, segment: str) -> bytes:
-        _, ids = best_path(segment, 0, len(segment), self.vocabulary)
-        packed = np.array(ids, dtype="<i4").tobytes()
+        packed = array("i", self.segmenter.path(segment)[1]).tobytes()
         if len(segment) <= 64:
             if len(self) >= _REMEMBERED:
                 self.clear()
@@ -117,22 +152,6 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, _SEGMENT.findall(spaced)))
 
 
-class SegmentScores(dict):
-    """Best scores of segments; forgets all when it has met too many."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, segment: str) -> float:
-        score, _ = best_path(segment, 0, len(segment), self.vocabulary)
-        if len(segment) <= 64:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[segment] = score
-        return score
-
-
 def chunk_bounds(length: int, size: int, longest: int) -> list[int]:
     """Ends of chunks; the last is never shorter than a piece."""
     ends = list(range(size, length, size))
@@ -157,12 +176,15 @@ def _clean_cuts(text: str, length: int) -> tuple[int, int] | None:
 
 
 def transfer_matrix(
-    text: str, length: int, final: bool, vocabulary: Vocabulary, known: SegmentScores | None = None
+    text: str, length: int, final: bool, vocabulary: Vocabulary, middle: bool = False
 ) -> np.ndarray:
     """Best score from each entry state to each exit state of the chunk text[:length].
 
     What follows in ``text`` is the beginning of the next chunk. State k: the first k characters
     belong to the piece that crosses the boundary. A piece counts in the chunk where it starts.
+    Between the first and the last place that no piece crosses, all paths score the same. That
+    number is the same in all entries and changes no choice of states, so it is left out
+    unless ``middle`` asks for it.
     """
     states = vocabulary.longest
     cuts = _clean_cuts(text, length)
@@ -172,10 +194,12 @@ def transfer_matrix(
     head = np.full(states, _NONE)
     for entry in range(min(states, first + 1)):
         head[entry] = best_path(text, entry, first, vocabulary)[0]
-    known = SegmentScores(vocabulary) if known is None else known
-    middle = sum(map(known.__getitem__, _SEGMENT.findall(text[first:last])))
     tail = _sweep(text[last:], length - last, final, vocabulary, 1)[0]
-    return head[:, None] + middle + tail[None, :]
+    between = 0.0
+    if middle:
+        segmenter = Segmenter(vocabulary)
+        between = sum(segmenter.path(segment)[0] for segment in _SEGMENT.findall(text[first:last]))
+    return head[:, None] + between + tail[None, :]
 
 
 def _sweep(text: str, length: int, final: bool, vocabulary: Vocabulary, entries: int) -> np.ndarray:
@@ -248,10 +272,9 @@ def _chunked(size: int, longest: int):
 
 def _measured(vocabulary: Vocabulary):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = SegmentScores(vocabulary)
         for batch in batches:
             keys, chunks, bodies, lengths, finals = (c.to_pylist() for c in batch.columns)
-            packed = [_pack(transfer_matrix(b, n, f, vocabulary, known)) for b, n, f in zip(bodies, lengths, finals)]
+            packed = [_pack(transfer_matrix(b, n, f, vocabulary)) for b, n, f in zip(bodies, lengths, finals)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["key", "at", "matrix"]
             )
@@ -310,8 +333,8 @@ def _ids_array(packed: list[bytes | None]) -> pa.Array:
 def _traced(vocabulary: Vocabulary):
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
-            keys, chunks, bodies, lengths, entries, leaves = (c.to_pylist() for c in batch.columns)
+        for batch in (part for whole in batches for part in cut_by_text(whole, 2, _AT_ONCE)):
+            bodies, lengths, entries, leaves = (c.to_pylist() for c in batch.columns[2:])
             packed = []
             for body, length, entry, leave in zip(bodies, lengths, entries, leaves):
                 packed.append(encoder.encode(body[entry : length + leave]))
@@ -348,7 +371,7 @@ def encode(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
-        for batch in batches:
+        for batch in (part for whole in batches for part in cut_by_text(whole, text_at, _AT_ONCE)):
             packed = [
                 None if text is None else encoder.encode(" " + text) if text else b""
                 for text in batch.column(text_at).to_pylist()
@@ -382,20 +405,33 @@ def encode(
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", path: str = MODEL_PATH, out: str = "decoded") -> DataFrame:
-    """Every input row with the text that its ids stand for, the exact inverse of ``encode``."""
+    """Every input row with the text that its ids stand for, the exact inverse of ``encode``.
+
+    NULL ids give NULL, no ids an empty text. A column of the name ``out`` is replaced.
+    """
     written = load_vocabulary(path).written
     kept = without(rows, out)
     names, at = kept.columns, kept.columns.index(ids_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for ids in batch.column(at).to_pylist():
-                if ids is None:
-                    texts.append(None)
-                else:
-                    texts.append(b"".join(map(written.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" "))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, out])
+        blob = np.frombuffer(b"".join(written), dtype=np.uint8)
+        lengths = np.array([len(w) for w in written])
+        begins = np.cumsum(lengths) - lengths
+        for whole in batches:
+            for batch in cut_batch(whole, pc.list_value_length(whole.column(at)), _AT_ONCE // 4):
+                listed = batch.column(at)
+                ids = listed.flatten().to_numpy(zero_copy_only=False)
+                size = lengths[ids]
+                ends = np.cumsum(size)
+                raw = blob[np.repeat(begins[ids] - (ends - size), size) + np.arange(size.sum())].tobytes()
+                upto = np.concatenate([[0], ends])
+                counts = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False)
+                stops = np.cumsum(counts)
+                texts = [
+                    raw[upto[stop - n] : upto[stop]].decode("utf-8", "replace").removeprefix(" ") if there else None
+                    for n, stop, there in zip(counts.tolist(), stops.tolist(), listed.is_valid().to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, out])
 
     return kept.mapInArrow(read, f"{schema}, `{out}` string")
