@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from loanseason.llm.licences import TEMPLATES
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -76,9 +78,57 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
 FROM split LEFT JOIN per_line USING (line)
 """
 
+_TEMPLATE_ROWS = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(TEMPLATES))
+_TERMS = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda t: t <> '')"
+
+LICENSE_SCAN = f"""
+WITH template(no, license, wording) AS (VALUES {_TEMPLATE_ROWS}),
+files AS (
+    SELECT doc_id, coalesce(text, '') AS body, concat_ws('/', coalesce(source, '_'), coalesce(lang, '_')) AS folder,
+           concat_ws('/', coalesce(source, '_'), coalesce(lang, '_'), doc_id::VARCHAR) AS path FROM documents
+), template_terms AS (
+    SELECT no, license, term, count(*) AS n FROM (SELECT no, license, unnest({_TERMS.format("wording")}) AS term FROM template)
+    GROUP BY ALL
+), bags AS (SELECT doc_id, list_distinct({_TERMS.format("body")}) AS bag FROM files),
+frequency AS (
+    SELECT term, count(*) AS df FROM (SELECT unnest(bag) AS term FROM bags) SEMI JOIN template_terms USING (term) GROUP BY term
+), rare AS (
+    SELECT DISTINCT term, ln(((SELECT count(*) FROM files) + 1) / (coalesce(df, 0) + 1)) + 1 AS idf
+    FROM template_terms LEFT JOIN frequency USING (term)
+), goal AS (
+    SELECT no, license, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY no)) AS weight
+    FROM template_terms JOIN rare USING (term)
+), pieces AS (
+    SELECT doc_id, unnest(string_split(body, chr(10))) AS line, unnest(range(len(string_split(body, chr(10))))) AS place FROM files
+    UNION ALL SELECT doc_id, body, -1 FROM files
+), counted AS (
+    SELECT doc_id, place, term, count(*) AS n FROM (
+        SELECT doc_id, place, unnest({_TERMS.format("line")}) AS term FROM pieces WHERE regexp_matches(line, '(?i)(licen|permission|redistribut|software|copyright|mozilla|creative)')
+    ) GROUP BY ALL
+), valued AS (
+    SELECT doc_id, place, term, n * coalesce(idf, ln((SELECT count(*) FROM files) + 1) + 1) AS value FROM counted LEFT JOIN rare USING (term)
+), lengths AS (SELECT doc_id, place, sqrt(sum(value * value)) AS size FROM valued GROUP BY ALL),
+scores AS (
+    SELECT doc_id, place, license, round(sum(value * weight) / any_value(size), 9) AS score
+    FROM valued JOIN goal USING (term) JOIN lengths USING (doc_id, place) GROUP BY doc_id, place, no, license
+), own AS (
+    SELECT doc_id, license AS own_license, score AS own_score FROM scores WHERE score >= 0.6
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, place) = 1
+), judged AS (SELECT * FROM files LEFT JOIN own USING (doc_id)),
+stated AS (
+    SELECT folder, arg_min(own_license, path) AS folder_license, min(path) AS folder_path FROM judged
+    WHERE own_license IS NOT NULL
+      AND regexp_matches(lower(string_split(body, chr(10))[1]), 'licen[sc]ed under|under the [a-z]+ licen[sc]e') GROUP BY folder
+)
+SELECT doc_id, own_license, round(own_score, 6) AS own_score, coalesce(own_license, folder_license) AS license,
+       CASE WHEN own_license IS NULL THEN folder_path ELSE path END AS license_path
+FROM judged LEFT JOIN stated USING (folder)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_exact_top_k": TOP_K,
     "op4_substring_dedup": SUBSTRING_DEDUP,
+    "op6_license_scan": LICENSE_SCAN,
     "op10_mixing": MIXING,
 }

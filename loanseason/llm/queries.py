@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import cover_tree, exact_dedup, language_id, mixing, near_dedup, pieces, pii, repeats, toxicity
+from loanseason.llm import cover_tree, exact_dedup, language_id, licences, mixing, near_dedup, pieces, pii, repeats, toxicity
 from loanseason.llm.common import fold_of, table, word_count
 
 
@@ -53,6 +53,20 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below source and language. One whose first line states a licence states
+    it for its directory."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "text",
+        F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), "doc_id").alias("path"),
+    )
+    heads = F.lower(F.substring_index("text", "\n", 1)).rlike("licen[sc]ed under|under the [a-z]+ licen[sc]e")
+    return licences.scan(docs, declares=heads).select(
+        "doc_id", "own_license", F.round("own_score", 6).alias("own_score"), "license", "license_path"
+    )
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     decoded = pieces.decode(encoded)
@@ -87,6 +101,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_license_scan": op6_license_scan,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
