@@ -361,7 +361,8 @@ def encode(
     solved once and remembered.
 
     A space is put before the text, as the model's makers do. NULL texts have NULL ids, empty
-    ones no ids. Equal texts share their chunks. An input column named ``ids`` is replaced.
+    ones no ids. Of several segmentations with the same total one is taken; a chunk's end inside
+    such a place may take another than a text in one chunk. Equal texts share their chunks. An input column named ``ids`` is replaced.
     """
     vocabulary = load_vocabulary(path)
     rows = without(docs, "ids", "__key", "__ids")
