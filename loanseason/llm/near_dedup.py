@@ -156,9 +156,9 @@ def _confirmed(pairs: DataFrame, known: DataFrame, settings: NearSettings) -> Da
         second = known.select(F.col("id").alias("v"), F.col(column).alias("__right"))
         return rows.join(first, "u").join(second, "v").select("u", "v", "__left", "__right")
 
-    likely, _ = stored(with_both(pairs, "signature").mapInArrow(_alike(settings), "u long, v long"), "near-likely")
-    links = with_both(likely, "text").mapInArrow(_verifier(settings), "u long, v long")
-    return stored(links, "near-links")[0]
+    likely = with_both(pairs, "signature").mapInArrow(_alike(settings), "u long, v long")
+    likely, _ = stored(likely, "near-likely")
+    return with_both(likely, "text").mapInArrow(_verifier(settings), "u long, v long")
 
 
 def _shingler(settings: NearSettings):
@@ -221,10 +221,9 @@ def near_groups(
 
     Texts with equal shingle sets are one class from the start, so copies meet in a count and
     nowhere else. The classes' representatives are banded. In a bucket every member is compared
-    with the first one. Members that this leaves unconnected are compared with the one of them
-    that shares most with the rest, and what is unconnected still is compared across components.
-    Before that, pairs go that cannot be links: shingles that no other unconnected text has
-    bound the intersection from above. So every pair that shares a bucket is tested, ruled out
+    with the one that shares most buckets with most texts, which is the least altered one. What
+    is unconnected after that is compared across components. Before that, pairs go that cannot
+    be links: shingles that no other unconnected text has bound the intersection from above. So every pair that shares a bucket is tested, ruled out
     by an exact bound or already connected, and no group emits all its pairs. Links are
     confirmed on the sets of whole texts.
 
@@ -251,49 +250,35 @@ def near_groups(
         *[F.xxhash64(F.lit(b), F.substring("signature", b * width + 1, width)) for b in range(settings.bands)]
     )
     banded = heads.select("id", F.explode(keys).alias("bucket"))
-    shared = (
-        banded.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    )
-    shared, _ = stored(shared.select("bucket", "first"), "near-buckets")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("many")).filter("many > 1")
+    shared, _ = stored(shared, "near-buckets")
     members, _ = stored(banded.join(shared, "bucket"), "near-members")
+    fame, _ = stored(members.groupBy("id").agg(F.sum("many").alias("met")), "near-fame")
+    hubs = (
+        members.join(fame, "id")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("met", (-F.col("id")).alias("minus"))).alias("hub"))
+        .select("bucket", (-F.col("hub.minus")).alias("hub"))
+    )
+    hubs, _ = stored(hubs, "near-hubs")
 
-    known = rows.join(heads.join(members.select("id").distinct(), "id", "left_semi"), "id")
-    known, _ = stored(known, "near-known")
-    tried, _ = stored(members.filter("first <> id").select(*_ordered("first", "id")).distinct(), "near-tried")
+    known, _ = stored(rows.join(heads.join(fame.select("id"), "id", "left_semi"), "id"), "near-known")
+    tried = members.join(hubs, "bucket").filter("hub <> id").select(*_ordered("hub", "id")).distinct()
+    tried, _ = stored(tried, "near-tried")
     joined, _ = stored(components(_confirmed(tried, known, settings)), "near-components")
 
-    def extended(pairs: DataFrame) -> DataFrame:
-        links = _confirmed(pairs, known, settings)
-        stars = joined.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-        return stored(components(stars.union(links)), "near-components")[0]
-
     apart, left = _unconnected(members, joined)
     if left:
         shapes = _shapes(apart, known, settings)
         possible = F.col("free") | (100 * F.col("common") >= settings.percent * F.col("n"))
-        shaped, _ = stored(apart.join(shapes, "id").filter(possible), "near-shaped")
-        hub = shaped.groupBy("bucket").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("part"), "id")).alias("hub"))
-        hub, _ = stored(hub.select("bucket", F.col("hub.id").alias("id")), "near-hubs")
-        hubs = hub.join(shaped, ["bucket", "id"]).alias("h")
-        near_hub = hubs.join(shaped.alias("m"), "bucket").filter(
-            (F.col("h.component") != F.col("m.component")) & _can_link("h", "m", settings.percent)
-        )
-        fresh = near_hub.select(*_ordered("h.id", "m.id")).distinct().join(tried, ["u", "v"], "left_anti")
-        fresh, _ = stored(fresh, "near-tried")
-        joined = extended(fresh)
-        apart, left = _unconnected(shaped, joined)
-    if left:
-        last = apart.join(shapes, "id")
-        across = last.alias("x").join(last.alias("y"), "bucket").filter(
+        shaped, _ = stored(apart.join(shapes.filter(possible), "id"), "near-shaped")
+        across = shaped.alias("x").join(shaped.alias("y"), "bucket").filter(
             (F.col("x.component") < F.col("y.component")) & _can_link("x", "y", settings.percent)
         )
-        untested = (
-            across.select(*_ordered("x.id", "y.id"))
-            .distinct()
-            .join(tried, ["u", "v"], "left_anti")
-            .join(fresh, ["u", "v"], "left_anti")
-        )
-        joined = extended(untested)
+        untested = across.select(*_ordered("x.id", "y.id")).distinct().join(tried, ["u", "v"], "left_anti")
+        links = _confirmed(untested, known, settings)
+        stars = joined.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        joined, _ = stored(components(stars.union(links)), "near-components")
 
     settled = classes.join(joined.withColumnRenamed("node", "head"), "head", "left").select(
         "set_hash", F.coalesce("component", "head").alias("component")
