@@ -163,10 +163,11 @@ def recall_at_levels(
     """
     cuts = materialise(_levels(groups, ks, keys))
     tied = scored.join(F.broadcast(cuts.select(*keys, "y_score").distinct()), [*keys, "y_score"], "left_semi")
+    by_id = [c for c in ("LOAN_ID", "vintage") if c in scored.columns]
     placed = running_totals(
-        tied.select(*keys, "y_score", "LOAN_ID", F.lit(1).alias("n"), F.col("y_true").alias("pos")),
+        tied.select(*keys, "y_score", *by_id, F.lit(1).alias("n"), F.col("y_true").alias("pos")),
         [*keys, "y_score"],
-        [F.asc("LOAN_ID")],
+        [F.asc(c) for c in by_id],
         ["n", "pos"],
         parts,
     )
@@ -230,18 +231,21 @@ def metric_table(
 def joint_average_precision(groups: DataFrame, keys: Sequence[str] = ("model", "split")) -> DataFrame:
     """Mean over the tasks of their average precision: the score for choosing among models."""
     per_task = groups.groupBy(*keys, "task").agg(_average_precision().alias("ap"))
-    return per_task.groupBy(*keys).agg(F.round(F.avg("ap"), 6).alias("joint_ap"))
+    return per_task.groupBy(*keys).agg(F.avg("ap").alias("joint_ap"))
 
 
 def compare_models(table: DataFrame, left: str, right: str) -> DataFrame:
-    """Metrics of two models side by side per task and split, with right minus left."""
+    """Metrics of two models side by side per task and split, with right minus left.
+
+    What only one of them was measured on stays, with NULL on the other side.
+    """
     metrics = ["pr_auc", "roc_auc", "brier", *[c for c in table.columns if c.startswith("recall_at_")]]
 
     def side(model: str, suffix: str) -> DataFrame:
         rows = table.where(F.col("model") == model)
         return rows.select("task", "split", *[F.col(m).alias(f"{m}_{suffix}") for m in metrics])
 
-    both = side(left, "a").join(side(right, "b"), ["task", "split"])
+    both = side(left, "a").join(side(right, "b"), ["task", "split"], "full")
     return both.withColumns({f"{m}_delta": F.round(F.col(f"{m}_b") - F.col(f"{m}_a"), 4) for m in metrics})
 
 
@@ -272,7 +276,7 @@ def calibration(scored: DataFrame, bins: int = CALIBRATION_BINS, keys: Sequence[
 def outreach_list(
     scored: DataFrame, k: float = 0.05, keys: Sequence[str] = SCORE_KEYS, parts: int | None = None
 ) -> DataFrame:
-    """The best ``ceil(k * n)`` loans of each key with their rank, ties in id order."""
+    """The best ``ceil(k * n)`` loans of each key with their rank, ties in order of id and vintage."""
     cuts = _levels(score_groups(scored, keys, parts), [k], keys).select(
         *keys, F.col("y_score").alias("cut"), "budget"
     )
@@ -281,7 +285,7 @@ def outreach_list(
         .where(F.col("y_score") >= F.col("cut"))
         .select(*keys, "LOAN_ID", "vintage", "y_true", "y_score", "budget", F.lit(1).alias("one"))
     )
-    ranked = running_totals(near, keys, [F.desc("y_score"), F.asc("LOAN_ID")], ["one"], parts)
+    ranked = running_totals(near, keys, [F.desc("y_score"), F.asc("LOAN_ID"), F.asc("vintage")], ["one"], parts)
     return ranked.where(F.col("cum_one") <= F.col("budget")).select(
         *keys, F.col("cum_one").cast("long").alias("rank"), "LOAN_ID", "vintage", "y_score", "y_true"
     )

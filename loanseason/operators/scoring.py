@@ -37,11 +37,11 @@ class Scorecard:
     task: str
     intercept: float
     terms: tuple[Term, ...]
-    digits: int = 4
+    digits: int | None = None
 
     def score(self) -> Column:
         z = reduce(lambda acc, t: acc + t.contribution(), self.terms, F.lit(self.intercept))
-        return F.round(sigmoid(z), self.digits)
+        return sigmoid(z) if self.digits is None else F.round(sigmoid(z), self.digits)
 
 
 def sigmoid(z: Column) -> Column:

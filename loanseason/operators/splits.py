@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import SplitBands
 from ..functions.dates import vintage_quarter, vintage_year
 from ..schema import ALL_FEATURES, TARGETS
+from ..session import stored
 
 
 def split_name(vintage: Column, bands: SplitBands = SplitBands()) -> Column:
@@ -58,7 +59,10 @@ def training_frame(
     rows = load_split(features, split, bands).select(
         "vintage", "LOAN_ID", *chosen, F.col(TARGETS[target]).alias("y_true")
     )
-    return require_rows(rows, f"no eligible loans in split {split}; build those vintages first")
+    kept, seen = stored(rows, "training-frame")
+    if not seen["rows"]:
+        raise RuntimeError(f"no eligible loans in split {split}; build those vintages first")
+    return kept
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +13,14 @@ from ..functions.dates import is_vintage, vintage_quarter, vintage_year
 from ..operators import loans, market, models, prep, profile, quality, ranking, sampling, scoring, splits
 from ..operators.panel import core_columns, with_effective_age
 from ..schema import (
+    ALL_FEATURES,
     CATEGORICAL_FEATURES,
     CORE_COLUMNS,
     NUMERIC_FEATURES,
     TARGETS,
     panel_schema,
 )
-from ..session import materialise, scratch_path
+from ..session import materialise, scratch_path, stored
 from ..sources import landing as landing_source
 from ..sources import panel_text, store
 from ..sources.catalog import catalog_counts
@@ -38,6 +39,7 @@ CARDS = (
             scoring.Term("f12_months_30p", 0.3),
             scoring.Term("CSCORE_B", -0.01, 650.0, 700.0),
         ),
+        digits=4,
     ),
     scoring.Scorecard(
         "full",
@@ -48,9 +50,10 @@ CARDS = (
             scoring.Term("OLTV", -0.01, 70.0, 70.0),
             scoring.Term("CSCORE_B", 0.002, 600.0, 600.0),
         ),
+        digits=4,
     ),
-    scoring.Scorecard("credit", "delinq", -3.0, (scoring.Term("CSCORE_B", -0.01, 650.0, 700.0),)),
-    scoring.Scorecard("credit", "prepay", -1.5, (scoring.Term("CSCORE_B", 0.004, 600.0, 600.0),)),
+    scoring.Scorecard("credit", "delinq", -3.0, (scoring.Term("CSCORE_B", -0.01, 650.0, 700.0),), digits=4),
+    scoring.Scorecard("credit", "prepay", -1.5, (scoring.Term("CSCORE_B", 0.004, 600.0, 600.0),), digits=4),
 )
 FULL_CARDS = CARDS[:2]
 SAMPLE_SIZE = 1000
@@ -66,8 +69,8 @@ def price_index(spark: SparkSession, sf: str) -> DataFrame:
     return market.price_index_changes(tables.index_input(spark, sf))
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    return loans.loan_features(tables.panel(spark, sf), rates(spark, sf), price_index(spark, sf))
+def features(spark: SparkSession, sf: str, columns: Sequence[str] | None = None) -> DataFrame:
+    return loans.loan_features(tables.panel(spark, sf), rates(spark, sf), price_index(spark, sf), columns=columns)
 
 
 def plain_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,9 +141,8 @@ def effective_age(spark: SparkSession, sf: str) -> DataFrame:
 
 def eligibility(spark: SparkSession, sf: str) -> DataFrame:
     panel = tables.panel(spark, sf)
-    both = loans.eligibility(panel)
-    strict = F.when(F.col("observed_through_age") > 12, F.col("eligible")).otherwise(0)
-    return both.withColumn("eligible_strict", strict)
+    strict = loans.eligibility(panel, strict=True).select("vintage", "LOAN_ID", F.col("eligible").alias("eligible_strict"))
+    return loans.eligibility(panel).join(strict, ["vintage", "LOAN_ID"])
 
 
 def split_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,11 +156,17 @@ def split_assign(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf: str, contract=tables.CONTRACT) -> DataFrame:
-    return quality.quality_report(features(spark, sf), contract)
+    limited = {limit.column for limit in (*contract.null_limits, *contract.range_limits)}
+    return quality.quality_report(features(spark, sf, [*sorted(limited), *TARGETS.values(), "eligible"]), contract)
+
+
+def _numeric_train(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features(spark, sf, [*NUMERIC_FEATURES, "eligible"])
+    return stored(splits.load_split(rows, "train", tables.BANDS, NUMERIC_FEATURES), "numeric-train")[0]
 
 
 def impute_medians(spark: SparkSession, sf: str) -> DataFrame:
-    train = materialise(splits.load_split(features(spark, sf), "train", tables.BANDS, NUMERIC_FEATURES))
+    train = _numeric_train(spark, sf)
     fitted = prep.medians(train)
     absent = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in NUMERIC_FEATURES])
     filled = absent.unpivot([], NUMERIC_FEATURES, "feature", "filled")
@@ -178,26 +186,11 @@ def onehot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scaled_stats(spark: SparkSession, sf: str) -> DataFrame:
-    train = materialise(splits.load_split(features(spark, sf), "train", tables.BANDS, NUMERIC_FEATURES))
-    fitted = prep.medians(train)
-    numbers = {c: F.col(c).cast("double") for c in NUMERIC_FEATURES}
-    filled = prep.impute(train, fitted)
-    stats = filled.agg(
-        *[F.avg(v).alias(f"mean_{c}") for c, v in numbers.items()],
-        *[F.stddev_pop(v).alias(f"std_{c}") for c, v in numbers.items()],
-    )
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("feature"), F.col(f"mean_{c}").alias("mean"), F.col(f"std_{c}").alias("std"))
-                for c in numbers
-            ]
-        )
-    )
-    deviation = F.when(F.col("std") > 0, F.col("std")).otherwise(1.0)
-    return stats.select(cells.alias("c")).select("c.*").select(
-        "feature", F.round("mean", 4).alias("mean"), F.round(deviation, 4).alias("scale")
-    )
+    train = _numeric_train(spark, sf)
+    filled = prep.impute(train, prep.medians(train))
+    scales = prep.fit_scales(filled, {c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
+    rows = spark.createDataFrame([(c, *scale) for c, scale in scales.items()], "feature string, mean double, scale double")
+    return rounded(rows, 4)
 
 
 def stratified(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,47 +214,85 @@ def attribution_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model_frame(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(models.model_frame(features(spark, sf), tables.BANDS))
+    wanted = [*ALL_FEATURES, *TARGETS.values(), "eligible"]
+    return stored(models.model_frame(features(spark, sf, wanted), tables.BANDS), "model-frame")[0]
 
 
-def _trees(spark: SparkSession, sf: str, task: str):
+def _trees(spark: SparkSession, sf: str):
+    """The model rows, the inputs and one tree model for each task."""
     frame = _model_frame(spark, sf)
     inputs = models.TreeInputs.fit(frame.where("split = 'train'"))
-    return frame, inputs, models.fit_trees(frame, inputs, task, TREES)
+    return frame, inputs, {task: models.fit_trees(frame, inputs, task, TREES) for task in TARGETS}
 
 
-def gbt_scores(spark: SparkSession, sf: str) -> DataFrame:
+def _network(spark: SparkSession, sf: str):
     frame = _model_frame(spark, sf)
-    inputs = models.TreeInputs.fit(frame.where("split = 'train'"))
-    parts = [models.score_with_trees(frame, inputs, models.fit_trees(frame, inputs, t, TREES), t) for t in TARGETS]
+    fitted = prep.Preprocessor.fit(frame.where("split = 'train'"))
+    return frame, fitted, models.fit_network(frame, fitted, NETWORK)
+
+
+def gbt_score_rows(spark: SparkSession, sf: str) -> DataFrame:
+    frame, inputs, fits = _trees(spark, sf)
+    parts = [models.score_with_trees(frame, inputs, fits[t], t) for t in TARGETS]
     return parts[0].unionByName(parts[1])
 
 
-def joint_scores(spark: SparkSession, sf: str) -> DataFrame:
-    frame = _model_frame(spark, sf)
-    fitted = prep.Preprocessor.fit(frame.where("split = 'train'"))
-    return models.score_with_network(frame, fitted, models.fit_network(frame, fitted, NETWORK))
+def joint_score_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return models.score_with_network(*_network(spark, sf))
+
+
+def judged(scores: DataFrame) -> DataFrame:
+    """What must hold of any fit: who was scored, range of the scores, better than chance on what was learned."""
+    rows, _ = stored(scores, "model-scores")
+    keys = ("model", "task", "split")
+    counts = rows.groupBy(*keys).agg(
+        F.count("*").alias("loans"),
+        F.sum("y_true").cast("long").alias("positives"),
+        F.countDistinct("vintage", "LOAN_ID").alias("distinct_loans"),
+        (F.min("y_score").between(0, 1) & F.max("y_score").between(0, 1)).alias("in_range"),
+    )
+    gained = ranking.average_precision(ranking.score_groups(rows)).join(counts, list(keys))
+    better = (F.col("split") != "train") | (F.col("average_precision") > F.col("positives") / F.col("loans"))
+    return gained.select(*keys, "loans", "positives", "distinct_loans", "in_range", better.alias("better_than_chance"))
 
 
 def network_history(spark: SparkSession, sf: str) -> DataFrame:
-    frame = _model_frame(spark, sf)
-    fitted = prep.Preprocessor.fit(frame.where("split = 'train'"))
-    return models.network_history(models.fit_network(frame, fitted, NETWORK), spark)
+    _, _, model = _network(spark, sf)
+    history = models.network_history(model, spark)
+    return history.agg(
+        (F.count("*") > 1).alias("has_epochs"),
+        (F.max_by("train_loss", "epoch") < F.min_by("train_loss", "epoch")).alias("loss_falls"),
+    )
 
 
 def importance(spark: SparkSession, sf: str) -> DataFrame:
-    frame, inputs, model = _trees(spark, sf, "delinq")
-    return models.tree_importance(model, inputs, frame)
+    frame, inputs, fits = _trees(spark, sf)
+    parts = [models.tree_importance(fits[t], inputs, frame).withColumn("task", F.lit(t)) for t in TARGETS]
+    return parts[0].unionByName(parts[1]).groupBy("task").agg(
+        F.count_distinct("feature").alias("features"),
+        F.round(F.sum("gain"), 6).alias("total_gain"),
+        (F.min("gain") >= 0).alias("none_negative"),
+        (F.count_if((F.col("gain") > 0) & (F.col("weight") == 0)) == 0).alias("gain_only_where_split"),
+    )
 
 
 def training_curve(spark: SparkSession, sf: str) -> DataFrame:
-    frame, inputs, model = _trees(spark, sf, "prepay")
-    return models.training_curve(model, inputs, frame, "prepay")
+    frame, inputs, fits = _trees(spark, sf)
+    parts = [models.training_curve(fits[t], inputs, frame, t) for t in TARGETS]
+    return parts[0].unionByName(parts[1]).groupBy("task", "split").agg(
+        (F.max("round") == F.count("*")).alias("one_row_per_round"),
+        (F.min("loss") > 0).alias("all_positive"),
+    )
 
 
 def tree_attributions(spark: SparkSession, sf: str) -> DataFrame:
-    frame, inputs, model = _trees(spark, sf, "delinq")
-    return models.tree_attributions(model, inputs, frame, "delinq", "val", SAMPLE_SIZE)
+    frame, inputs, fits = _trees(spark, sf)
+    parts = [models.tree_attributions(fits[t], inputs, frame, t, "val") for t in TARGETS]
+    return parts[0].unionByName(parts[1]).groupBy("task").agg(
+        F.count_distinct("feature").alias("features"),
+        (F.min("mean_abs") >= 0).alias("none_negative"),
+        (F.max("mean_abs") > 0).alias("some_effect"),
+    )
 
 
 def _panel(step: Callable[[DataFrame], DataFrame]) -> Query:
@@ -324,7 +355,7 @@ QUERIES: dict[str, Query] = {
     "recall_at_k": recalls,
     "calibration": lambda s, d: ranking.calibration(scored(s, d)),
     "score_metrics": lambda s, d: ranking.metric_table(materialise(scored(s, d))),
-    "joint_ap": _groups(ranking.joint_average_precision),
+    "joint_ap": _groups(lambda g: rounded(ranking.joint_average_precision(g))),
     "model_compare": lambda s, d: ranking.compare_models(
         ranking.metric_table(materialise(scored(s, d))), "full", "credit"
     ),
@@ -332,8 +363,8 @@ QUERIES: dict[str, Query] = {
     "outreach_list": lambda s, d: ranking.outreach_list(materialise(scored(s, d)), 0.05),
     "attribution_top": attribution_table,
     "attribution_compare": lambda s, d: scoring.compare_attributions(materialise(attribution_table(s, d))),
-    "gbt_scores": gbt_scores,
-    "joint_scores": joint_scores,
+    "gbt_scores": lambda s, d: judged(gbt_score_rows(s, d)),
+    "joint_scores": lambda s, d: judged(joint_score_rows(s, d)),
     "network_history": network_history,
     "importance": importance,
     "training_curve": training_curve,

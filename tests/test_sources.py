@@ -86,6 +86,43 @@ def test_panel_survives_text_and_store(spark, tmp_path):
         store.write_raw(panel, root, compression="lz77")
 
 
+def test_all_files_of_a_vintage_are_converted(spark, tmp_path):
+    land, root = f"{tmp_path}/land", f"{tmp_path}/raw"
+    put(land, "2018Q1.csv", GOOD)
+    put(land, "part2_2018Q1.csv", GOOD[:1])
+    put(land, "2018Q2.csv", GOOD)
+    put(land, "late_2018Q2.csv", ["1|2|3"])
+    got = {r.vintage: (r.status, r.rows, r.bad_lines) for r in landing.convert(spark, land, root).collect()}
+    assert got == {"2018Q1": ("OK", 3, 0), "2018Q2": ("FAIL", 3, 1)}
+    stored = spark.read.parquet(root)
+    assert stored.count() == 3 and len(stored.columns) == 112
+
+
+def test_stream_and_batch_share_a_store(spark, tmp_path):
+    land, root, progress = (f"{tmp_path}/{n}" for n in ("land", "raw", "progress"))
+    put(land, "2018Q1.csv", GOOD)
+    assert convert_new_files(spark, land, root, progress).awaitTermination(120)
+    put(land, "2018Q2.csv", GOOD[:1])
+    got = {r.vintage: r.status for r in landing.convert(spark, land, root).collect()}
+    assert got == {"2018Q1": "SKIP", "2018Q2": "OK"}
+    assert {r.vintage: r["count"] for r in store.read_raw(spark, root).groupBy("vintage").count().collect()} == {"2018Q1": 2, "2018Q2": 1}
+    put(land, "more_2018Q1.csv", GOOD[:1])
+    assert convert_new_files(spark, land, root, progress).awaitTermination(120)
+    assert {r.vintage: r["count"] for r in store.read_raw(spark, root).groupBy("vintage").count().collect()} == {"2018Q1": 3, "2018Q2": 1}
+
+
+def test_feature_store_adds_refuses_and_replaces(spark, tmp_path, panel_rows):
+    root = f"{tmp_path}/features"
+    rows = lambda v, n: loans.outcomes(panel_rows([month(0, loan=str(k), vintage=v) for k in range(n)]))
+    assert store.write_features(rows("2018Q1", 1), root) == 1
+    assert store.write_features(rows("2018Q2", 2), root) == 2
+    with pytest.raises(FileExistsError, match="2018Q2"):
+        store.write_features(rows("2018Q2", 3), root)
+    assert store.write_features(rows("2018Q2", 3), root, overwrite=True) == 3
+    got = {r.vintage: r["count"] for r in store.read_features(spark, root).groupBy("vintage").count().collect()}
+    assert got == {"2018Q1": 1, "2018Q2": 3}
+
+
 def test_feature_store_replaces_only_the_vintages_at_hand(spark, tmp_path, panel_rows):
     root = f"{tmp_path}/features"
     both = panel_rows([month(0, vintage="2018Q1"), month(0, vintage="2018Q2")])
