@@ -24,6 +24,9 @@ _LONGEST_RUN = 300
 #: Every character carries this factor while products are formed, about the inverse of what it costs.
 _PER_CHARACTER = 100.0
 _WORDS_AT_ONCE = 20_000
+_HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
+_TABLE_BITS = 20
+_TABLE_SHIFT = np.uint64(64 - _TABLE_BITS)
 _REMEMBERED = 400_000
 _SLICE_CHARACTERS = 2_000_000
 
@@ -69,64 +72,102 @@ def _by_length(words: Iterable[str]) -> Iterator[tuple[int, list[int], list[str]
             yield length, part, [words[p] for p in part]
 
 
-def _arcs(words: list[str], length: int, index: PieceIndex) -> dict[tuple[int, int], np.ndarray]:
-    """For every span the piece number in each word, -1 where the span is no piece."""
-    get, arcs = index.numbers.get, {}
-    for start in range(length):
-        for stop in range(start + 1, min(length, start + index.longest) + 1):
-            missing = index.unknown if stop == start + 1 else -1
-            found = np.array([get(w[start:stop], missing) for w in words], dtype=np.int32)
-            if missing >= 0 or (found >= 0).any():
-                arcs[start, stop] = found
-    return arcs
+@dataclass(frozen=True)
+class Arcs:
+    """Pieces that occur at one span of equally long words: which words, and which piece in each."""
+
+    start: int
+    stop: int
+    words: np.ndarray
+    numbers: np.ndarray
 
 
-def _forward(arcs: dict, count: int, length: int, chances: np.ndarray) -> np.ndarray:
+class ArcFinder:
+    """Finds all pieces in many words of one length at once, by 64-bit hashes of their spans.
+
+    Pieces lie in a table by their hash; the few that meet another there lie in a second one.
+    """
+
+    def __init__(self, index: PieceIndex) -> None:
+        self.index = index
+        self.keys = np.array([_hash_of(p) for p in index.numbers] + [0], dtype=np.uint64)
+        draw = np.random.default_rng(1)
+        self.tables, left = [], np.arange(len(self.keys) - 1)
+        while len(left):
+            factor = np.uint64(draw.integers(0, 2**63)) * np.uint64(2) + np.uint64(1)
+            table = np.full(1 << _TABLE_BITS, len(self.keys) - 1, dtype=np.int32)
+            slots = (self.keys[left] * factor) >> _TABLE_SHIFT
+            table[slots] = left
+            self.tables.append((factor, table))
+            left = left[table[slots] != left]
+
+    def __call__(self, words: list[str], length: int) -> list[Arcs]:
+        """Arcs in order of their stop; a character that is no piece is an unknown one."""
+        raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = np.ascontiguousarray(raw.reshape(len(words), length).T).astype(np.uint64)
+        arcs = []
+        for start in range(length):
+            value = np.zeros(len(words), dtype=np.uint64)
+            for stop in range(start + 1, min(length, start + self.index.longest) + 1):
+                value = value * _HASH_BASE + codes[stop - 1]
+                numbers = np.full(len(words), -1, dtype=np.int32)
+                for factor, table in self.tables:
+                    found = table[(value * factor) >> _TABLE_SHIFT]
+                    np.copyto(numbers, found, where=self.keys[found] == value)
+                if stop == start + 1:
+                    numbers[numbers < 0] = self.index.unknown
+                rows = np.flatnonzero(numbers >= 0)
+                if len(rows):
+                    arcs.append(Arcs(start, stop, rows, numbers[rows]))
+        return sorted(arcs, key=lambda arc: arc.stop)
+
+
+def _hash_of(piece: str) -> int:
+    value = 0
+    for sign in piece:
+        value = (value * int(_HASH_BASE) + ord(sign)) % 2**64
+    return value
+
+
+def _forward(arcs: list[Arcs], count: int, length: int, chances: np.ndarray) -> np.ndarray:
     """Sums over all segmentations of every prefix: (position, word, model)."""
-    models = chances.shape[1]
-    sums = np.zeros((length + 1, count, models))
+    sums = np.zeros((length + 1, count, chances.shape[1]))
     sums[0] = 1.0
-    for (start, stop), numbers in sorted(arcs.items(), key=lambda arc: arc[0][1]):
-        sums[stop] += sums[start] * chances[numbers] * _PER_CHARACTER ** (stop - start)
+    for arc in arcs:
+        weight = chances[arc.numbers] * _PER_CHARACTER ** (arc.stop - arc.start)
+        sums[arc.stop, arc.words] += sums[arc.start, arc.words] * weight
     return sums
 
 
-def _padded(chances: np.ndarray) -> np.ndarray:
-    """Number -1 reaches the added last row, which is no piece at all."""
-    return np.vstack([chances, np.zeros((1, chances.shape[1]))])
-
-
-def log_likelihoods(words: list[str], index: PieceIndex, chances: np.ndarray) -> np.ndarray:
+def log_likelihoods(words: list[str], finder: ArcFinder, chances: np.ndarray) -> np.ndarray:
     """Log probability of each word under each model, summed over its segmentations."""
     out = np.zeros((len(words), chances.shape[1]))
-    table = _padded(chances)
     for length, places, group in _by_length(words):
-        sums = _forward(_arcs(group, length, index), len(group), length, table)
+        sums = _forward(finder(group, length), len(group), length, chances)
         out[places] = np.log(sums[length]) - length * math.log(_PER_CHARACTER)
     return out
 
 
-def expected_counts(words: dict[str, int], index: PieceIndex) -> np.ndarray:
+def expected_counts(words: dict[str, int], finder: ArcFinder) -> np.ndarray:
     """How often each piece is expected in the words, over all segmentations under the start model."""
-    table = _padded(index.start[:, None])
-    total = np.zeros(len(table))
+    start = finder.index.start
+    total = np.zeros(len(start))
     names, numbers = list(words), np.array(list(words.values()), dtype=np.float64)
     for length, places, group in _by_length(names):
-        arcs = _arcs(group, length, index)
-        ahead = _forward(arcs, len(group), length, table)[:, :, 0]
+        arcs = finder(group, length)
+        ahead = _forward(arcs, len(group), length, start[:, None])[:, :, 0]
         back = np.zeros((length + 1, len(group)))
         back[length] = numbers[places] / ahead[length]
-        for (start, stop), found in sorted(arcs.items(), key=lambda arc: -arc[0][0]):
-            step = table[found, 0] * _PER_CHARACTER ** (stop - start) * back[stop]
-            back[start] += step
-            total += np.bincount(found + (found < 0) * len(table), weights=ahead[start] * step, minlength=len(table))[
-                : len(table)
-            ]
-    return total[:-1]
+        for arc in sorted(arcs, key=lambda a: -a.start):
+            step = start[arc.numbers] * _PER_CHARACTER ** (arc.stop - arc.start) * back[arc.stop, arc.words]
+            back[arc.start, arc.words] += step
+            total += np.bincount(arc.numbers, weights=ahead[arc.start, arc.words] * step, minlength=len(total))
+    return total
 
 
 def _counter(index: PieceIndex):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = ArcFinder(index)
         totals: dict[str, np.ndarray] = {}
         tokens: dict[str, Counter] = defaultdict(Counter)
         texts: Counter = Counter()
@@ -138,7 +179,7 @@ def _counter(index: PieceIndex):
                     for word in words_in(token):
                         words[word] += n
                 if words:
-                    totals[lang] = totals.get(lang, 0) + expected_counts(words, index)
+                    totals[lang] = totals.get(lang, 0) + expected_counts(words, finder)
             tokens.clear()
 
         for batch in batches:
@@ -218,6 +259,7 @@ class _Tokens:
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
+        self.finder = ArcFinder(model.index)
         self.places: dict[str, int] = {}
         self.rows = np.zeros((0, len(model.languages) + 1))
 
@@ -232,7 +274,7 @@ class _Tokens:
                 owners.append(k)
         rows = np.zeros((len(fresh), self.rows.shape[1]))
         if words:
-            values = log_likelihoods(words, self.model.index, self.model.chances)
+            values = log_likelihoods(words, self.finder, self.model.chances)
             np.add.at(rows, owners, np.column_stack([values, np.ones(len(words))]))
         held = len(self.places)
         self.places.update((token, held + k) for k, token in enumerate(fresh))

@@ -27,7 +27,7 @@ def test_sum_over_segmentations():
         return math.log(total)
 
     words = [" the", " straße", " tion", " ñaé漢", " x"]
-    got = language_id.log_likelihoods(words, index, chances)
+    got = language_id.log_likelihoods(words, language_id.ArcFinder(index), chances)
     assert np.allclose(got, [[brute(w, m) for m in (0, 1)] for w in words])
 
 
