@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from .config import SplitBands, TreeSettings
 from .operators import quality, splits
 from .plans import jobs
+from .session import drop_scratch
 from .sources import catalog, store
 
 
@@ -43,6 +44,9 @@ def _arguments() -> argparse.Namespace:
     step.add_argument("--rounds", type=int, default=TreeSettings().rounds)
     step.add_argument("--no-network", action="store_true")
 
+    step = steps.add_parser("evaluate", help="apply the saved models to stored loan rows")
+    step.add_argument("--split", default="val,test", help="comma-separated splits")
+
     steps.add_parser("splits", help="summary per split")
     steps.add_parser("catalog", help="views and their sizes")
     return parser.parse_args()
@@ -51,6 +55,13 @@ def _arguments() -> argparse.Namespace:
 def main() -> int:
     args = _arguments()
     spark = SparkSession.builder.appName(f"loanseason-{args.step}").getOrCreate()
+    try:
+        return run(spark, args)
+    finally:
+        drop_scratch(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> int:
     layout = jobs.Layout(args.root)
     if args.step == "ingest":
         years = [int(y) for y in args.only.split(",")] if args.only else None
@@ -83,6 +94,8 @@ def main() -> int:
         settings = TreeSettings(rounds=args.rounds)
         network = None if args.no_network else jobs.NetworkSettings()
         jobs.train_and_evaluate(spark, layout, trees=settings, network=network).show(truncate=False)
+    elif args.step == "evaluate":
+        jobs.evaluate(spark, layout, shown=args.split.split(",")).show(truncate=False)
     elif args.step == "splits":
         splits.split_summary(store.read_features(spark, layout.features), SplitBands()).show()
     elif args.step == "catalog":

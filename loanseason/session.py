@@ -55,9 +55,20 @@ def shared_folder(spark: SparkSession) -> str:
     return fresh
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps intermediate tables."""
+    return f"{shared_folder(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's scratch folder."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; frames that rest on them end with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
