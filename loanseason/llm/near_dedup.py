@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanseason.llm.common import folded_words_of, without
@@ -183,31 +184,34 @@ def _unconnected(members: DataFrame, joined: DataFrame) -> tuple[DataFrame, int]
     return rows, seen["rows"]
 
 
-def _shapes(rows: DataFrame, known: DataFrame, settings: NearSettings) -> DataFrame:
-    """Of texts not yet connected: set size and how many shingles another such text has as well.
+def _rare_first(rows: DataFrame, known: DataFrame, settings: NearSettings) -> DataFrame:
+    """Of texts not yet connected, the shingles by which they can meet a similar one.
 
-    No two of them can share more than the smaller of these numbers. An id with several texts is
-    marked ``free``: nothing is ruled out for it.
+    A text's shingles are put in order of how few of these texts have them. Two similar sets share
+    a shingle among the first ones of both: if the first they have in common stood further
+    back, too few would be left to share. Columns: id, component, n (set size), shingle, place.
+    Shingles that only one text has take up places and are not returned.
     """
-    texts = known.join(rows.select("id").distinct(), "id", "left_semi").select("id", "text")
+    names = rows.select("id", "component").distinct()
+    texts = known.join(names, "id").select("id", "text")
     cut, _ = stored(texts.mapInArrow(_shingler(settings), "id long, shingles array<long>"), "near-shingles")
-    alone = (
-        cut.select("id", F.explode("shingles").alias("shingle"))
-        .groupBy("shingle")
-        .agg(F.count("*").alias("times"), F.min("id").alias("id"))
-        .filter("times = 1")
-        .groupBy("id")
-        .agg(F.count("*").alias("own"))
+    version = F.xxhash64("shingles").alias("version")
+    each = cut.select("id", version, F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    shared, _ = stored(each.groupBy("shingle").agg(F.count("*").alias("times")).filter("times > 1"), "near-shared")
+    one = W.partitionBy("id", "version")
+    placed = each.join(shared, "shingle").withColumn(
+        "place",
+        F.col("n") - F.count("*").over(one) + F.row_number().over(one.orderBy("times", "shingle")),
     )
-    sizes = cut.groupBy("id").agg(F.max(F.size("shingles")).alias("n"), (F.count("*") > 1).alias("free"))
-    shapes = sizes.join(alone, "id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
-    return stored(shapes.select("id", "n", "common", "free"), "near-shapes")[0]
+    # The least a pair with a set of n can share is with the smallest partner: percent of n.
+    first = placed.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * settings.percent / 100) + 1)
+    return stored(first.join(names, "id").select("id", "component", "n", "shingle", "place"), "near-rare")[0]
 
 
 def _can_link(a: str, b: str, percent: int) -> Column:
-    """Whether two sets may be similar enough, from their sizes and what they can share at most."""
-    share = F.least(f"{a}.common", f"{b}.common") * (100 + percent)
-    return F.col(f"{a}.free") | F.col(f"{b}.free") | (share >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent)
+    """Whether two sets whose first common shingle has these places may still share enough."""
+    left = F.least(F.col(f"{a}.n") - F.col(f"{a}.place"), F.col(f"{b}.n") - F.col(f"{b}.place")) + 1
+    return left * (100 + percent) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -269,10 +273,8 @@ def near_groups(
 
     apart, left = _unconnected(members, joined)
     if left:
-        shapes = _shapes(apart, known, settings)
-        possible = F.col("free") | (100 * F.col("common") >= settings.percent * F.col("n"))
-        shaped, _ = stored(apart.join(shapes.filter(possible), "id"), "near-shaped")
-        across = shaped.alias("x").join(shaped.alias("y"), "bucket").filter(
+        rare = _rare_first(apart, known, settings)
+        across = rare.alias("x").join(rare.alias("y"), "shingle").filter(
             (F.col("x.component") < F.col("y.component")) & _can_link("x", "y", settings.percent)
         )
         untested = across.select(*_ordered("x.id", "y.id")).distinct().join(tried, ["u", "v"], "left_anti")
