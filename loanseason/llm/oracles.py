@@ -125,10 +125,30 @@ SELECT doc_id, own_license, round(own_score, 6) AS own_score, coalesce(own_licen
 FROM judged LEFT JOIN stated USING (folder)
 """
 
+NEAR_DEDUP = f"""
+WITH RECURSIVE split AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), bags AS MATERIALIZED (
+    SELECT doc_id, CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+           ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS bag FROM split
+), numbered AS MATERIALIZED (SELECT doc_id, len(bag) AS size, unnest(bag) AS shingle FROM bags),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM numbered a JOIN numbered b USING (shingle)
+    WHERE a.doc_id < b.doc_id AND 5 * a.size >= 4 * b.size AND 5 * b.size >= 4 * a.size
+    GROUP BY x, y, a.size, b.size HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))
+), sides AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM bags UNION SELECT reach.doc_id, sides.y FROM reach JOIN sides ON sides.x = reach.other
+)
+SELECT doc_id, any_value(len(bag))::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach JOIN bags USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_exact_top_k": TOP_K,
     "op4_substring_dedup": SUBSTRING_DEDUP,
+    "op5_minhash_near_dedup": NEAR_DEDUP,
     "op6_license_scan": LICENSE_SCAN,
     "op10_mixing": MIXING,
 }

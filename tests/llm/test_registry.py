@@ -6,7 +6,7 @@ import corpus_pipeline
 from tests.oracle_check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
-WITH_SQL = ["op1_exact_dedup", "op2_exact_top_k", "op4_substring_dedup", "op6_license_scan", "op10_mixing"]
+WITH_SQL = ["op1_exact_dedup", "op2_exact_top_k", "op4_substring_dedup", "op5_minhash_near_dedup", "op6_license_scan", "op10_mixing"]
 
 
 @pytest.mark.parametrize("key", WITH_SQL)
