@@ -10,6 +10,7 @@ nodes of two trees.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -195,16 +196,18 @@ def top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     cells: int = 64,
-    block: int = 16_384,
+    block: int = 4096,
+    query_block: int = 2048,
     seed: int = 7,
 ) -> DataFrame:
     """The k best other rows of every query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     Of equal vectors only the k + 1 smallest ids can ever be among the best, so the others go
     before anything else; a vector that a third of all rows share becomes a handful of rows per
-    task. ``cells`` vectors, drawn by the hash of their ids, are the upper level of both trees;
-    every row goes to the nearest. Cells are cut into blocks of about ``block`` rows, queries
-    likewise, and each pair of blocks that can matter is searched in a task of its own.
+    task. Up to ``cells`` vectors, drawn by the hash of their ids, are the upper level of both
+    trees, as many of them as the rows fill blocks; every row goes to the nearest. Cells are cut
+    into blocks of about ``block`` rows, or ``query_block`` queries, and each pair of blocks that
+    can matter is searched in a task of its own.
 
     First every block of queries meets the one data block with the greatest bound. Its k-th
     scores then rule out pairs of blocks, and the search floor of what is left is set by them.
@@ -224,7 +227,7 @@ def top_k(
         .withColumn("dim", F.size("vector"))
     )
     alike = W.partitionBy("vector").orderBy("id")
-    data, _ = stored(
+    data, seen = stored(
         good.withColumn("place", F.row_number().over(alike)).filter(F.col("place") <= k + 1).select("id", "vector", "dim"),
         "cover-data",
     )
@@ -238,17 +241,18 @@ def top_k(
         centres.setdefault(row["dim"], []).append(row["vector"])
     points = {dim: np.array(rows, dtype=np.float64) for dim, rows in centres.items()}
 
-    def celled(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """Rows in blocks, and for each block its centre's number, radius and size."""
+    def celled(rows: DataFrame, name: str, total: int, most: int) -> tuple[DataFrame, DataFrame]:
+        """Rows in blocks, and for each block its centre's number and its radius."""
+        used = {dim: among[: math.ceil(total / most) or 1] for dim, among in points.items()}
         placed, _ = stored(
             rows.select("id", "vector", "dim").mapInArrow(
-                _to_nearest(points), "id long, vector array<long>, dim int, cell long, far double"
+                _to_nearest(used), "id long, vector array<long>, dim int, cell long, far double"
             ),
             f"cover-{name}-cells",
         )
         sizes = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"))
         cut = placed.join(sizes, ["dim", "cell"]).withColumn(
-            "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / block))
+            "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / most))
         )
         cut = cut.withColumn("block", F.concat_ws("-", "dim", "cell", "part")).select(
             "id", "vector", "dim", "cell", "far", "block"
@@ -256,8 +260,9 @@ def top_k(
         cut, _ = stored(cut, f"cover-{name}")
         return cut, cut.groupBy("block", "dim", "cell").agg(F.max("far").alias("radius"))
 
-    data_rows, data_blocks = celled(data, "data")
-    query_rows, query_blocks = celled(good.filter("is_query"), "queries")
+    queries, asked_for = stored(good.filter("is_query").select("id", "vector", "dim"), "cover-asked")
+    data_rows, data_blocks = celled(data, "data", seen["rows"], block)
+    query_rows, query_blocks = celled(queries, "queries", asked_for["rows"], query_block)
 
     centre_rows = vectors.sparkSession.createDataFrame(
         [(dim, c, p.tolist()) for dim, among in points.items() for c, p in enumerate(among)],

@@ -23,7 +23,7 @@ def _best(vectors, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("settings", [{}, {"cells": 3, "block": 20}])
+@pytest.mark.parametrize("settings", [{}, {"cells": 3, "block": 20, "query_block": 4}])
 def test_top_k_equals_brute_force(spark, settings):
     draw = random.Random(4)
     vectors = [(i, [round(draw.gauss(0, 0.3), 3) for _ in range(4)]) for i in range(400)]
