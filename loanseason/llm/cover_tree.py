@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from loanseason.session import stored
 
-_LEAF = 48
+_LEAF = 256
+#: Centres in a row that cover less than this many rows show that there is nothing left to divide.
+_SPARSE, _PATIENCE = 16, 8
 
 
 @dataclass
@@ -39,9 +41,16 @@ class Node:
 def cover_tree(points: np.ndarray) -> Node:
     """Batch construction: every level halves the covering radius, centres of a level are apart by more.
 
-    Works level by level on whole sets of rows. Equal points end up in one node of radius 0.
+    Works level by level on whole sets of rows. Equal points end up in one node of radius 0. Where
+    points are so far apart that centres cover next to nothing but themselves, as in many
+    dimensions, what is left becomes leaves of _LEAF rows, each with its own radius.
     """
 
+    def leaf(rows: np.ndarray) -> Node:
+        centre = points[rows[0]]
+        radius = float(np.sqrt(((points[rows] - centre) ** 2).sum(axis=1)).max())
+        return Node(centre, float(np.sqrt((centre**2).sum())), radius, rows, [])
+
     def build(rows: np.ndarray, centre: int, cover: float) -> Node:
         far = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
         radius = float(far.max())
@@ -49,14 +58,25 @@ def cover_tree(points: np.ndarray) -> Node:
         if len(rows) <= _LEAF or radius == 0:
             return node
         scale = min(cover, radius) / 2
-        left, distance = rows, far
+        left, distance, sparse, thin = rows, far, 0, []
         while len(left):
+            if sparse == _PATIENCE:
+                thin.append(left)
+                break
             # The centre itself covers first; after it the farthest row that nobody covers.
             pick = centre if left is rows else left[int(np.argmax(distance))]
             near = np.sqrt(((points[left] - points[pick]) ** 2).sum(axis=1)) <= scale
             near |= left == pick
-            node.children.append(build(left[near], pick, scale))
+            if near.sum() < _SPARSE:
+                thin.append(left[near])
+                sparse += 1
+            else:
+                node.children.append(build(left[near], pick, scale))
+                sparse = 0
             left, distance = left[~near], distance[~near]
+        if thin:
+            scattered = np.concatenate(thin)
+            node.children += [leaf(scattered[k : k + _LEAF]) for k in range(0, len(scattered), _LEAF)]
         return node
 
     return build(np.arange(len(points)), 0, np.inf)
