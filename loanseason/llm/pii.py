@@ -65,10 +65,13 @@ _AT = r"(?:\s?[(\[{<]\s?(?:at|@|arroba)\s?[)\]}>]\s?|\s(?:at|arroba|@)\s|\s?@\s?
 _DISGUISED = re.compile(
     rf"(?i)(?<![\w.%+-])([\w.%+-]{{1,64}}(?:{_DOT}[\w%+-]{{1,64}}){{0,4}})({_AT})([a-z0-9-]{{1,63}}(?:{_DOT}[a-z0-9-]{{1,63}}){{1,8}})(?![\w-]|{_AT})"
 )
-#: One of these is in every text that disguises an at or dot sign.
-_BRACKETED = re.compile(r"[(\[{<] ?(?:at|dot|punkt|point|punto|arroba|@|\.)", re.IGNORECASE)
-_DISGUISE_HINTS = (" dot ", " punkt ", " punto ", " @", "@ ")
+#: Every match of _DISGUISED holds one of these: its at sign, a label, a dot sign and a sign of the next label.
+_DISGUISE_HINT = re.compile(
+    rf"(?i)[@\s(\[{{<](?:(?<=@)\s?|\s?(?:at|arroba|@)\s?[)\]}}>\s]\s?)[a-z0-9-]{{1,63}}{_DOT}[a-z0-9-]"
+)
 _DOT_SIGN = re.compile(rf"(?i){_DOT}")
+#: What prose writes too: a word, `at`, and a domain with plain dots.
+_PROSE = re.compile(r"(?i)[^\W\d_]+\sat\s[a-z0-9-]+(?:\.[a-z0-9-]+)+")
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -172,15 +175,6 @@ class Rewritten:
         return int(self.starts[start]), int(self.ends[stop - 1])
 
 
-def _three_digits_in_a_row(words: list[str]) -> bool:
-    row = 0
-    for word in words:
-        row = row + 1 if word in _DIGIT_OF or word.lstrip("+").isdigit() else 0
-        if row == 3:
-            return True
-    return False
-
-
 def _spelled_edits(text: str) -> Iterator[tuple[int, int, str]]:
     """Runs of three or more digits, some as words: words become digits, gaps between digits go."""
     for run in _SPELLED.finditer(text):
@@ -197,8 +191,13 @@ def _spelled_edits(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def _address_edits(text: str) -> Iterator[tuple[int, int, str]]:
-    """Written-out at and dot signs, where what is around them reads as an address."""
+    """Written-out at and dot signs, where what is around them reads as an address.
+
+    ``look at example.com`` is prose, whatever else the text holds.
+    """
     for m in _DISGUISED.finditer(text):
+        if _PROSE.fullmatch(m[0]):
+            continue
         for dot in _DOT_SIGN.finditer(text, m.start(1), m.end(1)):
             if dot[0] != ".":
                 yield dot.start(), dot.end(), "."
@@ -212,10 +211,8 @@ def _address_edits(text: str) -> Iterator[tuple[int, int, str]]:
 def plain_form(text: str) -> Rewritten | None:
     """The text with disguises undone; None if there is nothing to undo."""
     odd = not text.isascii() and not _PLAIN.keys().isdisjoint(set(text))
-    lowered = text.lower()
-    spread = any(hint in lowered for hint in _DISGUISE_HINTS) or bool(_BRACKETED.search(text))
-    words = lowered.replace(",", " ").replace(".", " ").replace("-", " ").split()
-    spelled = not _DIGIT_OF.keys().isdisjoint(words) and _three_digits_in_a_row(words)
+    spread = bool(_DISGUISE_HINT.search(text))
+    spelled = any(_SPELLED_ONE.search(run[0]) for run in _SPELLED.finditer(text))
     if not (odd or spread or spelled or _LETTER_DIGIT_HINT.search(text)):
         return None
     first = now = Rewritten.of(text)

@@ -157,3 +157,36 @@ def test_personal_data_of_odd_rows(spark):
     assert got[51]["spans"] == "email:0:6" and got[51]["n_email"] == 1
     assert got[50]["spans"] == "" and got[2]["n_card"] == 0
     assert pii.find(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("write john arroba example.com", "email", "john arroba example.com"),
+        ("write john.doe at example.com", "email", "john.doe at example.com"),
+        ("write: john at example\ndot\ncom", "email", "john at example\ndot\ncom"),
+        ("(plus four nine one five one two three four five six seven)", "phone", "plus four nine one five one two three four five six seven"),
+        ("look at example.com", "email", None),
+        ("river (plus one) look at example.com", "email", None),
+    ],
+)
+def test_disguises_do_not_depend_on_the_rest(text, kind, found):
+    for around in ("", " – ", " on  ", " a dot b ", " x @ y "):
+        whole = f"{text}\n\n{around}"
+        spans = [whole[s:e] for k, s, e in pii.find_spans(whole)[1] if k == kind]
+        assert ([s for s in spans if "example" in s or "four" in s] or [None]) == [found]
+
+
+def test_gates_cover_their_patterns():
+    import random
+
+    draw = random.Random(6)
+    parts = ["john", "at", "AT", "arroba", "@", "example", "com", "dot", "punkt", "(", "]", "<", ".", " ", " ", " ", "\n", "one", "two", "three", "5", "-", ", "]
+    met = 0
+    for _ in range(30_000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(4, 16)))
+        address = bool(list(pii._address_edits(text)))
+        spelled = bool(list(pii._spelled_edits(text)))
+        met += address
+        assert pii.plain_form(text) is not None or not (address or spelled)
+    assert met > 20
