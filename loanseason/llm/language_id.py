@@ -19,10 +19,12 @@ from loanseason.session import stored
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Longer runs of letters are scored in parts, which keeps their products within a double.
+#: Longer runs of letters are scored in parts, which bounds the memory of a word.
 _LONGEST_RUN = 300
 #: Every character carries this factor while products are formed, about the inverse of what it costs.
 _PER_CHARACTER = 100.0
+#: Sums are looked at after so many characters, and rescaled if one has left this range.
+_LOOK, _LEAST, _MOST = 4, 1e-100, 1e100
 _WORDS_AT_ONCE = 20_000
 _HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 20
@@ -129,22 +131,53 @@ def _hash_of(piece: str) -> int:
     return value
 
 
-def _forward(arcs: list[Arcs], count: int, length: int, chances: np.ndarray) -> np.ndarray:
-    """Sums over all segmentations of every prefix: (position, word, model)."""
+def _rescale(sums: np.ndarray, at: int, reached: slice) -> np.ndarray | None:
+    """Bring the sums at a position, where they left the range, to 1, and those still needed along.
+
+    Returns the logarithm of the factor for each word and model, or None if all are in range.
+    """
+    here = sums[at]
+    out = ((here < _LEAST) | (here > _MOST)) & (here > 0)
+    if not out.any():
+        return None
+    factor = np.where(out, here, 1.0)
+    sums[reached] /= factor
+    return np.log(factor)
+
+
+def _forward(
+    arcs: list[Arcs], count: int, length: int, chances: np.ndarray, longest: int
+) -> tuple[np.ndarray, np.ndarray | None]:
+    """Sums over all segmentations of every prefix: (position, word, model), and their log factors.
+
+    A sum is what is stored times the exponential of its log factor; None stands for factors of 1.
+    Positions that an arc still reads share one factor.
+    """
     sums = np.zeros((length + 1, count, chances.shape[1]))
     sums[0] = 1.0
+    logs, at = None, 0
     for arc in arcs:
+        if arc.stop > at:
+            if at and at % _LOOK == 0:
+                first = max(0, at + 1 - longest)
+                factor = _rescale(sums, at, slice(first, at + 1))
+                if factor is not None:
+                    logs = np.zeros(sums.shape) if logs is None else logs
+                    logs[first:] += factor
+            at = arc.stop
         weight = chances[arc.numbers] * _PER_CHARACTER ** (arc.stop - arc.start)
         sums[arc.stop, arc.words] += sums[arc.start, arc.words] * weight
-    return sums
+    return sums, logs
 
 
 def log_likelihoods(words: list[str], finder: ArcFinder, chances: np.ndarray) -> np.ndarray:
     """Log probability of each word under each model, summed over its segmentations."""
     out = np.zeros((len(words), chances.shape[1]))
     for length, places, group in _by_length(words):
-        sums = _forward(finder(group, length), len(group), length, chances)
+        sums, logs = _forward(finder(group, length), len(group), length, chances, finder.index.longest)
         out[places] = np.log(sums[length]) - length * math.log(_PER_CHARACTER)
+        if logs is not None:
+            out[places] += logs[length]
     return out
 
 
@@ -155,13 +188,28 @@ def expected_counts(words: dict[str, int], finder: ArcFinder) -> np.ndarray:
     names, numbers = list(words), np.array(list(words.values()), dtype=np.float64)
     for length, places, group in _by_length(names):
         arcs = finder(group, length)
-        ahead = _forward(arcs, len(group), length, start[:, None])[:, :, 0]
+        longest = finder.index.longest
+        sums, logs = _forward(arcs, len(group), length, start[:, None], longest)
+        ahead = sums[:, :, 0]
         back = np.zeros((length + 1, len(group)))
         back[length] = numbers[places] / ahead[length]
+        # The log factor of what is behind, as it stands at the position that is being filled.
+        behind, at = None if logs is None else -logs[length, :, 0], length
         for arc in sorted(arcs, key=lambda a: -a.start):
+            if arc.start < at:
+                if at < length and (length - at) % _LOOK == 0:
+                    factor = _rescale(back, at, slice(at, at + longest))
+                    if factor is not None:
+                        behind = factor if behind is None else behind + factor
+                at = arc.start
             step = start[arc.numbers] * _PER_CHARACTER ** (arc.stop - arc.start) * back[arc.stop, arc.words]
             back[arc.start, arc.words] += step
-            total += np.bincount(arc.numbers, weights=ahead[arc.start, arc.words] * step, minlength=len(total))
+            both = ahead[arc.start, arc.words] * step
+            if behind is not None:
+                left = behind[arc.words] if logs is None else behind[arc.words] + logs[arc.start, arc.words, 0]
+                with np.errstate(divide="ignore"):
+                    both = np.exp(np.log(ahead[arc.start, arc.words]) + np.log(step) + left)
+            total += np.bincount(arc.numbers, weights=both, minlength=len(total))
     return total
 
 

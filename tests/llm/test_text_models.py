@@ -190,3 +190,36 @@ def test_gates_cover_their_patterns():
         met += address
         assert pii.plain_form(text) is not None or not (address or spelled)
     assert met > 20
+
+
+def test_long_runs_of_rare_letters():
+    index = language_id.piece_index()
+    finder = language_id.ArcFinder(index)
+    chances = np.full((index.unknown + 1, 2), 1e-9)
+    chances[:, 1] /= 100
+    run = " " + "\U00010348" * 300
+    got = language_id.log_likelihoods([run, " the"], finder, chances)
+    space = index.numbers.get(" ", index.unknown)
+    assert np.allclose(got[0], np.log(chances[space]) + 300 * np.log(chances[index.unknown]))
+    assert np.isfinite(got).all()
+    likely = np.full((index.unknown + 1, 1), 0.9)
+    assert np.isfinite(language_id.log_likelihoods([" " + "tion" * 75], finder, likely)).all()
+
+    start = np.full(index.unknown + 1, 1e-12)
+    rare = language_id.PieceIndex(index.numbers, start, index.longest)
+    words = {run: 2, " " + "\U00010348\U00010349" * 20 + "q" * 260: 1, " " + "q" * 30: 3}
+    counts = language_id.expected_counts(words, language_id.ArcFinder(rare))
+    assert counts[index.unknown] == pytest.approx(2 * 300 + 40)
+    lengths = np.array([len(p) for p in index.numbers] + [1])
+    assert (counts * lengths).sum() == pytest.approx(sum(n * len(w) for w, n in words.items()))
+
+
+def test_language_of_a_text_with_a_long_run(spark):
+    rows = [(1, "der hund und die katze " * 30, "de", "a"), (2, "the dog and the cat " * 30, "en", "a")]
+    model = language_id.fit(documents(spark, rows), folds=1)
+    chances = model.chances.copy()
+    chances[chances < 1e-3] = 1e-12
+    model = language_id.LanguageModel(model.languages, model.index, chances, model.prior)
+    docs = documents(spark, [(3, "the dog and the cat " + "\U00010348" * 300, None, "a")])
+    (got,) = language_id.predict(docs, model).collect()
+    assert got["lang_pred"] == "en" and 0 <= got["score"] <= 1
