@@ -95,6 +95,8 @@ class _Best:
             if ids[at] == own:
                 continue
             entry = (int(scores[at]), -int(ids[at]))
+            if entry in heap:
+                continue
             if len(heap) < self.k:
                 heapq.heappush(heap, entry)
             elif entry > heap[0]:
@@ -222,8 +224,8 @@ def top_k(
 ) -> DataFrame:
     """The k best other rows of every query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
-    Of equal vectors only the k + 1 smallest ids can ever be among the best, so the others go
-    before anything else; a vector that a third of all rows share becomes a handful of rows per
+    Rows that repeat an id and its vector count once. Of equal vectors only the k + 1 smallest
+    ids can ever be among the best, so the others go before anything else; a vector that a third of all rows share becomes a handful of rows per
     task. Up to ``cells`` vectors, drawn by the hash of their ids, are the upper level of both
     trees, as many of them as the rows fill blocks; every row goes to the nearest. Cells are cut
     into blocks of about ``block`` rows, or ``query_block`` queries, and each pair of blocks that
@@ -234,7 +236,7 @@ def top_k(
 
     Vectors that are NULL or hold NULL or non-finite components take no part, neither do rows
     with a NULL id. Vectors of different dimension never meet. Rows that repeat an id are
-    different vectors under one name; a query never finds its own id. Components must be small
+    different vectors under one name, equal scores of which count once; a query never finds its own id. Components must be small
     enough for an inner product to fit in 64 bits. Without queries or data there are no rows.
     """
     good = (
@@ -248,7 +250,10 @@ def top_k(
     )
     alike = W.partitionBy("vector").orderBy("id")
     data, seen = stored(
-        good.withColumn("place", F.row_number().over(alike)).filter(F.col("place") <= k + 1).select("id", "vector", "dim"),
+        good.withColumn("place", F.dense_rank().over(alike))
+        .withColumn("repeated", F.coalesce(F.lag("id").over(alike) == F.col("id"), F.lit(False)))
+        .filter((F.col("place") <= k + 1) & ~F.col("repeated"))
+        .select("id", "vector", "dim"),
         "cover-data",
     )
     drawn = (
@@ -280,7 +285,7 @@ def top_k(
         cut, _ = stored(cut, f"cover-{name}")
         return cut, cut.groupBy("block", "dim", "cell").agg(F.max("far").alias("radius"))
 
-    queries, asked_for = stored(good.filter("is_query").select("id", "vector", "dim"), "cover-asked")
+    queries, asked_for = stored(good.filter("is_query").select("id", "vector", "dim").distinct(), "cover-asked")
     data_rows, data_blocks = celled(data, "data", seen["rows"], block)
     query_rows, query_blocks = celled(queries, "queries", asked_for["rows"], query_block)
 
@@ -313,7 +318,7 @@ def top_k(
     lowest = -(2.0**62)
     none = query_rows.select("id").distinct().withColumn("floor", F.lit(lowest))
     early = searched(begin, none, "cover-early")
-    reached = _ranked(early, k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
+    reached = _ranked(early.distinct(), k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
     floors, _ = stored(
         none.select("id").join(reached, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(lowest))), "cover-floors"
     )

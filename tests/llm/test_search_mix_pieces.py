@@ -225,3 +225,14 @@ def test_deciding_terms_lose_nothing():
     vectors = [{"a": 0.8, "b": 0.6}, {"c": 0.9, "d": 0.43589}]
     assert licences.deciding_terms(vectors, 0.6) == ["a", "b", "c"] or licences.deciding_terms(vectors, 0.6) == ["a", "c"]
     assert licences.deciding_terms(vectors, 0.3) == ["a", "b", "c", "d"]
+
+
+def test_top_k_of_repeated_rows(spark):
+    draw = random.Random(8)
+    vectors = [(i, [round(draw.gauss(0, 0.3), 3) for _ in range(3)]) for i in range(200)]
+    vectors += [(300 + i, [0.75, 0.5, 0.5]) for i in range(7)]
+    doubled = vectors * 2 + [vectors[200]] * 12
+    table = spark.createDataFrame(doubled, "vec_id long, embedding array<double>")
+    for settings in ({}, {"cells": 3, "block": 20, "query_block": 4}):
+        out = cover_tree.top_k(table, F.col("vec_id") % 50 == 0, **settings)
+        assert sorted(tuple(r) for r in out.collect()) == _best(vectors, 5)
