@@ -84,6 +84,12 @@ def mark_duplicates(
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The input's columns, with one document left of each group of equal texts."""
+    """The input's columns, with one row left of each group of equal texts.
+
+    Of rows that repeat the keeper's id, and of a group whose ids are all NULL, one stays. Only
+    keepers of groups with several rows are compared once more; the other rows do not move.
+    """
     marked = mark_duplicates(docs, **options)
-    return marked.filter("kept").select(*[c for c in docs.columns if c in marked.columns])
+    alone = marked.filter("group_size = 1")
+    several = marked.filter("kept and group_size > 1").dropDuplicates(["text_sha256"])
+    return alone.unionByName(several).select(*[c for c in docs.columns if c in marked.columns])

@@ -116,3 +116,10 @@ def test_repeats_of_odd_rows(spark):
     docs = documents(spark, odd_rows())
     got = {r["doc_id"]: r["kept_text"] for r in repeats.drop_repeats(docs).collect()}
     assert got[6] == "" and got[7] == "" and got[1] == "The quick brown fox" and got[2] == ""
+
+
+def test_exact_stage_leaves_one_row_of_each_group(spark):
+    docs = documents(spark, [r for r in odd_rows() if r[0] not in (2, 3, 4)] + [(None, None, None, None)])
+    out = exact_dedup.deduplicate(docs.union(docs), keep="smallest")
+    assert out.columns == docs.columns
+    assert sorted(r["doc_id"] or -1 for r in out.collect()) == [-1, 1, 6, 8, 9]
