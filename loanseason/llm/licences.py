@@ -31,6 +31,8 @@ TEMPLATES = (
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|unlicense|notice)([._-][^/]*)?$"
 _GAP = "[^a-z0-9]+"
 RESULT = ("own_license", "own_score", "license", "license_path")
+#: What is compared: so many lines of a text from this one on; line -1 stands for the whole text.
+UNIT = ["text_key", "unit", "width"]
 
 
 def terms_of(text: Column) -> Column:
@@ -78,13 +80,28 @@ def deciding_terms(weights: list[dict[str, float]], threshold: float) -> list[st
     return sorted(chosen)
 
 
+def _runs(lines: Column, longest: int) -> Column:
+    """Every line and every run of neighbouring lines, as structs of first line, number of lines and text."""
+
+    def from_line(unit: Column) -> Column:
+        widths = F.sequence(F.lit(1), F.least(F.lit(longest), F.size(lines) - unit))
+        return F.transform(
+            widths,
+            lambda w: F.struct(
+                unit.alias("unit"), w.alias("width"), F.array_join(F.slice(lines, unit + 1, w), "\n").alias("body")
+            ),
+        )
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(lines) - 1), from_line))
+
+
 def own_licences(
-    files: DataFrame, text_col: str = "text", threshold: float = 0.6, templates: tuple = TEMPLATES
+    files: DataFrame, text_col: str = "text", threshold: float = 0.6, templates: tuple = TEMPLATES, longest: int = 8
 ) -> DataFrame:
     """The best template for each text that comes near one: ``text_key``, ``own_license``, ``own_score``.
 
-    Every line of a text is compared, and the text as a whole, by the cosine of term counts times
-    rarity. Equal texts are compared once. A text without a deciding term cannot reach the
+    Every line of a text is compared, every run of up to ``longest`` neighbouring lines, so that a
+    notice may be wrapped, and the text as a whole, by the cosine of term counts times rarity. Equal texts are compared once. A text without a deciding term cannot reach the
     threshold and is not split. Scores are compared to nine places; ties go to the licence first
     by name, then to the earliest line.
     """
@@ -107,28 +124,31 @@ def own_licences(
         .groupBy("text_key")
         .agg(F.first("text").alias("text"))
     )
-    units = near.select("text_key", F.posexplode(F.split("text", "\n")).alias("unit", "body")).unionByName(
-        near.select("text_key", F.lit(-1).alias("unit"), F.col("text").alias("body"))
+    units = (
+        near.select("text_key", F.split("text", "\n").alias("lines"))
+        .select("text_key", F.explode(_runs(F.col("lines"), longest)).alias("run"))
+        .select("text_key", "run.unit", "run.width", "run.body")
+        .unionByName(near.select("text_key", F.lit(-1).alias("unit"), F.lit(0).alias("width"), F.col("text").alias("body")))
     )
     terms = (
         units.filter(F.col("body").rlike(needed))
-        .select("text_key", "unit", F.explode(terms_of(F.col("body"))).alias("term"))
+        .select(*UNIT, F.explode(terms_of(F.col("body"))).alias("term"))
         .filter("term <> ''")
-        .groupBy("text_key", "unit", "term")
+        .groupBy(*UNIT, "term")
         .agg(F.count("*").alias("times"))
     )
     known = postings.select("term", "idf").distinct()
     heavy = terms.join(known, "term", "left").withColumn("value", F.col("times") * F.coalesce("idf", F.lit(nowhere)))
-    heavy, _ = stored(heavy.select("text_key", "unit", "term", "value"), "licence-terms")
-    lengths = heavy.groupBy("text_key", "unit").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length"))
+    heavy, _ = stored(heavy.select(*UNIT, "term", "value"), "licence-terms")
+    lengths = heavy.groupBy(*UNIT).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length"))
     products = (
         heavy.join(postings, "term")
-        .groupBy("text_key", "unit", "template", "license")
+        .groupBy(*UNIT, "template", "license")
         .agg(F.sum(F.col("value") * F.col("weight")).alias("product"))
     )
-    order = W.partitionBy("text_key").orderBy(F.desc("own_score"), "license", "unit")
+    order = W.partitionBy("text_key").orderBy(F.desc("own_score"), "license", "unit", "width")
     best = (
-        products.join(lengths, ["text_key", "unit"])
+        products.join(lengths, UNIT)
         .withColumn("own_score", F.round(F.col("product") / F.col("length"), 9))
         .filter(F.col("own_score") >= threshold)
         .withColumn("place", F.row_number().over(order))
@@ -149,13 +169,15 @@ def scan(
     declares: Column | None = None,
     threshold: float = 0.6,
     templates: tuple = TEMPLATES,
+    longest: int = 8,
 ) -> DataFrame:
     """Every input row, without its text, with its licence and where that comes from.
 
     ``own_license`` and ``own_score`` come from the text. A file without one inherits from the
     nearest directory above that has a licence file; of several in a directory the first by path
     counts. ``license`` is the result, ``license_path`` the file that states it. What is a licence
-    file is told by its name, or by ``declares``; only files with an own licence count.
+    file is told by its name, or by ``declares``; only files with an own licence count, so with
+    ``F.lit(True)`` every file that states a licence anywhere declares it for its directory.
 
     Directories are resolved once each, not once per file: their ancestors are joined with the
     licence files' directories, and files then find the answer of their directory. A directory
@@ -165,7 +187,7 @@ def scan(
     inherits nothing. Repeated rows and paths are judged row by row. Result columns replace input
     columns of the same name.
     """
-    own = own_licences(files, text_col, threshold, templates)
+    own = own_licences(files, text_col, threshold, templates, longest)
     is_file = F.col(path_col).rlike(LICENCE_FILE) if declares is None else declares
     rows = (
         without(files, *RESULT, "text_key", "dir", "declares")

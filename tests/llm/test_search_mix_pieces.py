@@ -236,3 +236,35 @@ def test_top_k_of_repeated_rows(spark):
     for settings in ({}, {"cells": 3, "block": 20, "query_block": 4}):
         out = cover_tree.top_k(table, F.col("vec_id") % 50 == 0, **settings)
         assert sorted(tuple(r) for r in out.collect()) == _best(vectors, 5)
+
+
+def test_licence_notice_over_several_lines(spark):
+    body = "river stone garden window letter morning table paper winter orange lesson\n" * 20
+    notice = "# Redistribution and use in source and binary\n# forms, with or without modification, are permitted\n# provided that the following\n# conditions are met\n"
+    rows = [(1, body + notice + body, "en", "a"), (2, body, "en", "a")]
+    files = documents(spark, rows).withColumn("path", F.concat(F.lit("a/"), F.col("doc_id"), F.lit(".c")))
+    got = {r["doc_id"]: r for r in licences.scan(files, declares=F.lit(True)).collect()}
+    assert got[1]["own_license"] == "BSD-3-Clause" and got[1]["own_score"] > 0.99
+    assert got[2]["own_license"] is None and got[2]["license"] == "BSD-3-Clause" and got[2]["license_path"] == "a/1.c"
+
+
+def test_licences_are_inherited_in_the_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")))
+    files = docs.select("doc_id", "text", F.concat_ws("/", folder, "doc_id").alias("path"))
+    rows = licences.scan(files, declares=F.lit(True)).collect()
+    stated = {}
+    for r in sorted(rows, key=lambda r: r["path"]):
+        if r["own_license"] is not None:
+            stated.setdefault(r["path"].rpartition("/")[0], (r["path"], r["own_license"]))
+
+    def nearest(path):
+        while path:
+            path = path.rpartition("/")[0]
+            if path in stated:
+                return stated[path]
+        return None, None
+
+    heirs = [r for r in rows if r["own_license"] is None]
+    assert [(r["license_path"], r["license"]) for r in heirs] == [nearest(r["path"]) for r in heirs]
+    assert sum(r["license"] is not None for r in heirs) > 0
