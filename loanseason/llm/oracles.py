@@ -144,6 +144,29 @@ SELECT doc_id, any_value(len(bag))::BIGINT AS n_shingles, min(other) AS componen
 FROM reach JOIN bags USING (doc_id) GROUP BY doc_id
 """
 
+_PLAIN_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATE = f"""
+WITH doc AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS line, {_PLAIN_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+item_runs AS MATERIALIZED (
+    SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[pos:pos + least(10, len(w)) - 1], ' ') AS run
+    FROM item, range(1, len(w) - least(10, len(w)) + 2) AS r(pos) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM item_runs),
+doc_runs AS (
+    SELECT line, size, pos, array_to_string(w[pos:pos + size - 1], ' ') AS run FROM doc, sizes, range(1, len(w) - size + 2) AS r(pos)
+), met AS MATERIALIZED (SELECT line, pos, size, item_id FROM doc_runs JOIN item_runs USING (size, run)),
+places AS (
+    SELECT line, count(DISTINCT pos + step) AS n_hit FROM met, range(size) AS s(step) GROUP BY line
+), named AS (
+    SELECT line, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT line, item_id::VARCHAR AS item FROM met WHERE item_id IS NOT NULL) GROUP BY line
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN places USING (line) LEFT JOIN named USING (line)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_exact_top_k": TOP_K,
@@ -151,4 +174,5 @@ ORACLES = {
     "op5_minhash_near_dedup": NEAR_DEDUP,
     "op6_license_scan": LICENSE_SCAN,
     "op10_mixing": MIXING,
+    "op13_decontaminate": DECONTAMINATE,
 }

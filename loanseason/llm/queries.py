@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import cover_tree, exact_dedup, language_id, licences, mixing, near_dedup, pieces, pii, repeats, toxicity
+from loanseason.llm import cover_tree, decontaminate, exact_dedup, language_id, licences, mixing, near_dedup, pieces, pii, repeats, toxicity
 from loanseason.llm.common import fold_of, table, word_count
 
 
@@ -95,6 +95,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_exact_top_k": op2_exact_top_k,
@@ -106,4 +119,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op13_decontaminate": op13_decontaminate,
 }
