@@ -167,6 +167,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN places USING (line) LEFT JOIN named USING (line)
 """
 
+COLLOCATIONS = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+counts AS MATERIALIZED (
+    SELECT lang, w[pos:pos + size - 1] AS words, count(*) AS f
+    FROM (SELECT lang, w, unnest(range(1, 5)) AS size FROM split), range(1, len(w) - size + 2) AS r(pos)
+    GROUP BY ALL HAVING size = 1 OR f >= 30
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE len(words) = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, words, f AS a FROM counts WHERE len(words) > 1 AND f >= 30),
+cuts AS (
+    SELECT c.lang, c.words, a, k, p.f AS l, q.f AS r, (2000000::HUGEINT * a) // (p.f + q.f) AS score
+    FROM (SELECT *, unnest(range(1, len(words))) AS k FROM candidates) c
+    JOIN counts p ON p.lang = c.lang AND p.words = c.words[1:k]
+    JOIN counts q ON q.lang = c.lang AND q.words = c.words[k + 1:]
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+covered AS (
+    SELECT lang, words[pos:pos + size - 1] AS words, max(a) AS longer
+    FROM (SELECT *, unnest(range(2, len(words))) AS size FROM candidates), range(1, len(words) - size + 2) AS r(pos) GROUP BY ALL
+), ranked AS (
+    SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score::BIGINT AS score
+    FROM best LEFT JOIN covered USING (lang, words) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_exact_top_k": TOP_K,
@@ -174,5 +202,6 @@ ORACLES = {
     "op5_minhash_near_dedup": NEAR_DEDUP,
     "op6_license_scan": LICENSE_SCAN,
     "op10_mixing": MIXING,
+    "op12_collocations": COLLOCATIONS,
     "op13_decontaminate": DECONTAMINATE,
 }

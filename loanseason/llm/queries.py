@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import cover_tree, decontaminate, exact_dedup, language_id, licences, mixing, near_dedup, pieces, pii, repeats, toxicity
+from loanseason.llm import cover_tree, decontaminate, exact_dedup, language_id, licences, mixing, near_dedup, phrases, pieces, pii, repeats, toxicity
 from loanseason.llm.common import fold_of, table, word_count
 
 
@@ -95,6 +95,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -119,5 +123,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op12_collocations": op12_collocations,
     "op13_decontaminate": op13_decontaminate,
 }
