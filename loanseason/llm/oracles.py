@@ -167,6 +167,24 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc LEFT JOIN places USING (line) LEFT JOIN named USING (line)
 """
 
+_SEARCH_TERMS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+RANKED_SEARCH = f"""
+WITH doc AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS line, {_SEARCH_TERMS} AS w FROM documents),
+whole AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM doc WHERE len(w) > 0),
+held AS MATERIALIZED (SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(w) AS term FROM doc) GROUP BY ALL),
+asked AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_SEARCH_TERMS}) AS term FROM benchmark)),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+    FROM held SEMI JOIN asked USING (term), whole GROUP BY term, docs
+), parts AS (
+    SELECT line, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * docs) // terms))) AS part
+    FROM held JOIN weights USING (term) JOIN doc USING (line), whole
+), scores AS (SELECT item_id, line, sum(part)::BIGINT AS score FROM asked JOIN parts USING (term) GROUP BY item_id, line HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores JOIN doc USING (line) QUALIFY rank <= 10
+"""
+
 COLLOCATIONS = f"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
@@ -202,6 +220,7 @@ ORACLES = {
     "op5_minhash_near_dedup": NEAR_DEDUP,
     "op6_license_scan": LICENSE_SCAN,
     "op10_mixing": MIXING,
+    "op11_ranked_search": RANKED_SEARCH,
     "op12_collocations": COLLOCATIONS,
     "op13_decontaminate": DECONTAMINATE,
 }

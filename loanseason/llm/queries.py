@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanseason.llm import cover_tree, decontaminate, exact_dedup, language_id, licences, mixing, near_dedup, phrases, pieces, pii, repeats, toxicity
+from loanseason.llm import (
+    cover_tree,
+    decontaminate,
+    exact_dedup,
+    language_id,
+    licences,
+    mixing,
+    near_dedup,
+    phrases,
+    pieces,
+    pii,
+    ranked_search,
+    repeats,
+    toxicity,
+)
 from loanseason.llm.common import fold_of, table, word_count
 
 
@@ -95,6 +109,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -123,6 +141,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_ranked_search": op11_ranked_search,
     "op12_collocations": op12_collocations,
     "op13_decontaminate": op13_decontaminate,
 }
