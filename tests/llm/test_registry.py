@@ -6,7 +6,17 @@ import corpus_pipeline
 from tests.oracle_check import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
-WITH_SQL = ["op1_exact_dedup", "op2_exact_top_k", "op4_substring_dedup", "op5_minhash_near_dedup", "op6_license_scan", "op10_mixing"]
+WITH_SQL = [
+    "op1_exact_dedup",
+    "op2_exact_top_k",
+    "op4_substring_dedup",
+    "op5_minhash_near_dedup",
+    "op6_license_scan",
+    "op10_mixing",
+    "op11_ranked_search",
+    "op12_collocations",
+    "op13_decontaminate",
+]
 
 
 @pytest.mark.parametrize("key", WITH_SQL)
@@ -16,7 +26,7 @@ def test_query_equals_sql(spark, key):
 
 def test_one_query_for_each_operator():
     keys = contract.queries()
-    assert all(sum(k.startswith(f"op{n}_") for k in keys) == 1 for n in range(1, 11))
+    assert all(sum(k.startswith(f"op{n}_") for k in keys) == 1 for n in range(1, 14))
     assert "pipeline" in keys
 
 
