@@ -67,35 +67,42 @@ def item_windows(
     return cut.groupBy("size", "window").agg(F.collect_set("class").alias("classes")), classes.select("class", "ids")
 
 
-def _pieces(text: Column, settings: WindowSettings) -> Column:
-    """Cuts of a text as (offset in words, body, words that follow).
+def _in_pieces(texts: DataFrame, settings: WindowSettings) -> DataFrame:
+    """Rows (k1, k2, text) as rows (k1, k2, piece): offset in words, body, and the words that follow.
 
     A cut never splits a word, and each piece of a text that is cut has a word in it, so the
-    next pieces as many as a window has words hold all that a window can reach.
+    next pieces as many as a window has words hold all that a window can reach. The steps are
+    columns of their own, as a lambda would work out again what it refers to for every piece.
     """
     reach = settings.words - 1
+    text = F.col("text")
+    short = F.length(text) <= settings.piece_chars
     cuts = F.filter(
         F.regexp_extract_all(text, F.lit(f"(?s).{{1,{settings.piece_chars}}}(?!{_WORD})|{_WORD}+"), F.lit(0)),
         lambda p: p.rlike(_WORD),
     )
-    listed = F.transform(
-        cuts,
+    sized = F.transform(
+        "cuts",
         lambda p: F.struct(
             p.alias("body"),
             F.regexp_count(p, F.lit(f"{_WORD}+")).alias("n"),
             F.regexp_extract(p, f"^{_GAP}*((?:{_WORD}+{_GAP}*){{0,{reach}}})", 1).alias("head"),
         ),
     )
-    ordered = F.transform(
-        listed,
+    placed = F.transform(
+        "sized",
         lambda p, i: F.struct(
-            F.aggregate(F.slice(listed, F.lit(1), i), F.lit(0), lambda total, q: total + q["n"]).alias("offset"),
+            F.aggregate(F.slice("sized", F.lit(1), i), F.lit(0), lambda total, q: total + q["n"]).alias("offset"),
             p["body"].alias("body"),
-            F.array_join(F.transform(F.slice(listed, i + 2, F.lit(reach)), lambda q: q["head"]), " ").alias("next"),
+            F.array_join(F.transform(F.slice("sized", i + 2, F.lit(reach)), lambda q: q["head"]), " ").alias("next"),
         ),
     )
     whole = F.array(F.struct(F.lit(0).alias("offset"), text.alias("body"), F.lit("").alias("next")))
-    return F.when(F.length(text) <= settings.piece_chars, whole).otherwise(ordered) if reach else whole
+    return (
+        texts.withColumn("cuts", F.when(~short, cuts))
+        .withColumn("sized", sized)
+        .select(*_TEXT, F.explode_outer(F.when(short, whole).otherwise(placed)).alias("piece"))
+    )
 
 
 def find_windows(
@@ -110,11 +117,13 @@ def find_windows(
     sizes = sorted(seen["sizes"] or [])  # at most as many as a window has words
     text = F.col("text")
     # Outer generators: an inner one has Spark test its array below the projections, which repeats their work for each word.
-    cut = (
+    texts = (
         docs.select(F.col(text_col).cast("string").alias("text"))
         .filter(text.isNotNull())
         .select(*_text_key(text), lower_ascii(text).alias("text"))
-        .select(*_TEXT, F.explode_outer(_pieces(text, settings)).alias("piece"))
+    )
+    cut = (
+        _in_pieces(texts, settings)
         .select(*_TEXT, F.col("piece.offset").alias("offset"), F.col("piece.next").alias("next"), _words(F.col("piece.body")).alias("own"))
         .select(*_TEXT, "offset", "own", F.concat("own", F.slice(_words(F.col("next")), 1, max(1, settings.words - 1))).alias("words"))
         .select(*_TEXT, "offset", "words", F.posexplode_outer("own").alias("at", "first"))
@@ -241,6 +250,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, remove: str = "spans", text
     cut = F.concat(F.regexp_extract(text, f"^{_RAW_GAP}*", 0), F.array_join(left, ""))
     return (
         found.withColumn("__cut", ranges)
-        .withColumn("__left", F.when(F.col("contaminated"), cut).otherwise(text))
+        # Two uses of the ranges: with one, Spark would put their expression into the lambda and work it out for every word.
+        .withColumn("__left", F.when(F.size("__cut") > 0, cut).otherwise(text))
         .select(*[F.col("__left").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() not in {*RESULT, *_TEXT}])
     )
