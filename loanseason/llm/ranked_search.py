@@ -269,10 +269,10 @@ def search(
         terms=F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda total, n: total + n)),
     )
     total_docs, total_terms = counted["docs"] or 0, counted["terms"] or 0
-    slices = index.filter("term is null").select("slice", "doc_ids", "n")
+    slices = index.filter("term is null").select(*[F.col(c).alias(c) for c in ("slice", "doc_ids", "n")])
     postings = index.filter("term is not null").select("slice", "term", "docs", "tfs")
     if wanted is None:
-        postings = postings.join(vocabulary, "term", "left_semi")
+        postings = postings.join(vocabulary, "term", "left_semi").select("slice", "term", "docs", "tfs")
     parted, _ = stored(
         slices.groupBy("slice")
         .cogroup(postings.groupBy("slice"))
