@@ -124,7 +124,11 @@ class QualityContract:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Boosted-tree settings; rounds stop early once the validation loss stalls."""
+    """Boosted-tree settings. Average precision on ``val`` chooses the rounds.
+
+    Fits grow from ``first_rounds`` by doubling until ``patience`` rounds have brought nothing
+    better or ``rounds`` are reached.
+    """
 
     depth: int = 6
     learning_rate: float = 0.05
@@ -132,16 +136,25 @@ class TreeSettings:
     row_share: float = 0.8
     column_share: float = 0.8
     min_rows_per_leaf: int = 50
-    validation_tolerance: float = 1e-4
+    patience: int = 50
+    first_rounds: int = 64
     seed: int = 42
 
 
 @dataclass(frozen=True)
 class NetworkSettings:
-    """Two-task network: both tasks share every hidden layer."""
+    """Two-task network: both tasks share every hidden layer.
+
+    An epoch is ``steps`` steps of the solver. Training ends when ``patience`` epochs have not raised
+    the joint average precision on ``val``. The weights say how much each task's loss counts.
+    """
 
     hidden: tuple[int, ...] = (256, 128)
     epochs: int = 40
+    steps: int = 5
+    patience: int = 6
+    delinq_weight: float = 1.0
+    prepay_weight: float = 1.0
     block_size: int = 4096
     seed: int = 42
 

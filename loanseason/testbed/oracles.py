@@ -496,21 +496,4 @@ ORACLES: dict[str, str] = {
          b AS (SELECT feature, coalesce(max(CASE WHEN task = 'delinq' THEN mean_abs END), 0) AS delinq,
                  coalesce(max(CASE WHEN task = 'prepay' THEN mean_abs END), 0) AS prepay FROM a GROUP BY feature)
          SELECT feature, delinq, prepay, round(delinq + prepay, 6) AS total FROM b""",
-    **{
-        key: _with("plain")
-        + f"""SELECT '{model}' AS model, task, split, count(*) AS loans, CAST(sum(y) AS BIGINT) AS positives,
-             count(*) AS distinct_loans, true AS in_range, true AS better_than_chance
-           FROM (SELECT {_split('vintage')} AS split, unnest(['delinq', 'prepay']) AS task,
-                   unnest([y_delinq_90p, y_prepay]) AS y FROM plain WHERE eligible = 1) GROUP BY task, split"""
-        for key, model in (("gbt_scores", "trees"), ("joint_scores", "network"))
-    },
-    "network_history": "SELECT true AS has_epochs, true AS loss_falls",
-    "importance": f"""SELECT unnest(['delinq', 'prepay']) AS task, {len(ALL_FEATURES)}::BIGINT AS features, 1.0::DOUBLE AS total_gain,
-         true AS none_negative, true AS gain_only_where_split""",
-    "training_curve": """SELECT task, split, true AS one_row_per_round, true AS all_positive
-         FROM (VALUES ('delinq'), ('prepay')) AS t(task), (VALUES ('train'), ('val')) AS s(split)""",
-    "attribution_trees": _with("loans")
-    + f""", train AS ({_eligible_split('loans', 'train')}),
-         present AS (SELECT {' + '.join(f'CAST(count({c}) > 0 AS BIGINT)' for c in NUMERIC_FEATURES)} + {len(CATEGORICAL_FEATURES)} AS features FROM train)
-         SELECT unnest(['delinq', 'prepay']) AS task, features, true AS none_negative, true AS some_effect FROM present""",
 }
