@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ class PhraseSettings:
     """Phrases of 2 to ``longest`` words with at least ``least`` occurrences are candidates.
 
     A candidate goes if a longer one that holds it has ``cover`` percent of its occurrences. A task
-    counts ``window`` words at a time; a gate has 2 ** ``gate_bits`` bits at any size of the corpus;
+    counts ``window`` words at a time, or words until it holds ``words_held`` different ones; a gate has 2 ** ``gate_bits`` bits at any size of the corpus;
     a prefix range stands for about ``range_words`` words of the corpus, and at most ``fan_in``
     automata are united at once.
     """
@@ -37,6 +38,7 @@ class PhraseSettings:
     cover: int = 80
     top: int = 2000
     window: int = 2_000_000
+    words_held: int = 500_000
     gate_bits: int = 26
     range_words: int = 4_000_000
     most_ranges: int = 8192
@@ -50,10 +52,16 @@ def _mix(values: np.ndarray) -> np.ndarray:
 
 
 def _lead(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """What the first two words of a phrase are known by, in gates and ranges."""
+    """What a pair of words is known by in a gate."""
     return _mix(first * _STEP + _mix(second + _STEP))
 
 
+def _unused_bytes(codes: np.ndarray) -> int:
+    """How many low bytes of all codes are zero."""
+    low = int(np.bitwise_or.reduce(codes, initial=np.uint64(0)))
+    return next((k for k in range(7) if low >> 8 * k & 0xFF), 7)
+
+
 def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Equal phrases once, in the order of their words' codes, with the sum of their counts."""
     rank, at = np.zeros(len(counts), np.int64), np.zeros(0, np.int64)
@@ -143,7 +151,10 @@ class CountAutomaton:
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
         for array in (*(a for layer in self.layers for a in layer), self.counts):
-            narrow = array if array.dtype == np.uint64 else array.astype(np.min_scalar_type(int(array.max(initial=0))))
+            if array.dtype == np.uint64:
+                narrow = array.astype("<u8").view(np.uint8).reshape(-1, 8)[:, _unused_bytes(array) :]
+            else:
+                narrow = array.astype(np.min_scalar_type(int(array.max(initial=0))))
             np.save(out, narrow, allow_pickle=False)
         return out.getvalue()
 
@@ -154,7 +165,9 @@ class CountAutomaton:
         layers = []
         for _ in range(words):
             edges, labels, targets, before = (read() for _ in range(4))
-            layers.append((edges.astype(np.int64), labels, targets, before.astype(np.int64)))
+            wide = np.zeros((len(labels), 8), np.uint8)
+            wide[:, 8 - labels.shape[1] :] = labels
+            layers.append((edges.astype(np.int64), wide.view("<u8").reshape(-1), targets, before.astype(np.int64)))
         return cls(layers, read().astype(np.int64))
 
     @classmethod
@@ -166,15 +179,34 @@ class CountAutomaton:
         return cls.build([c[keep] for c in columns], counts[keep])
 
 
+@dataclass(frozen=True)
+class Coding:
+    """How words get their codes: the ``bits`` high bits of a hash that both Spark and tasks compute."""
+
+    seed: int = 0
+    bits: int = 64
+
+    def column(self) -> Column:
+        return F.shiftleft(F.shiftright(F.xxhash64(F.lit(str(self.seed)), "lang", "word"), 64 - self.bits), 64 - self.bits)
+
+    def of_language(self, lang: str) -> Callable[[bytes], int]:
+        start = xxhash.xxh64_intdigest(lang.encode(), xxhash.xxh64_intdigest(str(self.seed).encode(), 42))
+        mask = (1 << 64) - (1 << (64 - self.bits))
+        return lambda word: xxhash.xxh64_intdigest(word, start) & mask
+
+    def wider(self) -> Coding:
+        return Coding(self.seed, self.bits + 8) if self.bits < 64 else Coding(self.seed + 1, 64)
+
+
 class _Numbers(dict):
     """Word to number. Words that the gate stops share number 0 with the ends of pieces."""
 
-    def __init__(self, seed: int, admits: Callable[[int], bool]) -> None:
+    def __init__(self, code_of: Callable[[bytes], int], admits: Callable[[int], bool]) -> None:
         super().__init__({b"\n": 0})
-        self.seed, self.admits, self.codes = seed, admits, [0]
+        self.code_of, self.admits, self.codes = code_of, admits, [0]
 
     def __missing__(self, word: bytes) -> int:
-        code = xxhash.xxh3_64_intdigest(word, self.seed)
+        code = self.code_of(word)
         number = 0
         if self.admits(code):
             number = len(self.codes)
@@ -201,8 +233,8 @@ def _tokens(chunk: bytes) -> Iterator[bytes]:
 class _Stream:
     """The words of one language in a task, as numbers, counted a window at a time."""
 
-    def __init__(self, lang: str, seed: int, admits: Callable[[int], bool], longest: int) -> None:
-        self.make = lambda: _Numbers(xxhash.xxh64_intdigest(lang.encode(), seed), admits)
+    def __init__(self, lang: str, coding: Coding, admits: Callable[[int], bool], longest: int) -> None:
+        self.make = lambda: _Numbers(coding.of_language(lang), admits)
         self.kept = longest - 1
         self.restart()
 
@@ -277,7 +309,7 @@ def _levels(
 
 
 def _by_range(columns: list[np.ndarray], counts: np.ndarray, range_bits: int) -> Iterator[tuple[int, CountAutomaton]]:
-    part = (_lead(columns[0], columns[1]) >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(counts), np.int64)
+    part = (columns[0] >> np.uint64(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(counts), np.int64)
     order = np.argsort(part, kind="stable")
     edges = np.append(np.flatnonzero(np.diff(part[order], prepend=-1)), len(order))
     for start, stop in zip(edges[:-1], edges[1:]):
@@ -285,65 +317,55 @@ def _by_range(columns: list[np.ndarray], counts: np.ndarray, range_bits: int) ->
         yield int(part[here[0]]), CountAutomaton.build([c[here] for c in columns], counts[here])
 
 
-def _streamed(batches: Iterator[pa.RecordBatch], streams: dict, make: Callable[[str], object], window: int, flush: Callable) -> Iterator:
-    """Feed the rows (lang, text) of a task to a stream for each language; windows that are full are flushed."""
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Chunks of the folded texts of rows (lang, text), those of a language joined by line feeds."""
+
+    def cut(pending: dict[str, list[bytes]]) -> Iterator[tuple[str, bytes]]:
+        for lang, texts in pending.items():
+            for chunk in _chunks(b"\n".join([*texts, b""]).translate(_FOLD)):
+                yield lang, chunk
+
     for batch in batches:
-        texts = batch.column(1).cast(pa.large_binary())
         pending: dict[str, list[bytes]] = {}
         size = 0
-        for lang, text in zip(batch.column(0).to_pylist(), texts):
-            pending.setdefault(lang, []).append(text.as_py() or b"")
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
+            pending.setdefault(lang, []).append(text.as_py())
             size += len(pending[lang][-1])
             if size >= _CHUNK:
-                yield from _fed(pending, streams, make, window, flush)
+                yield from cut(pending)
                 pending, size = {}, 0
-        yield from _fed(pending, streams, make, window, flush)
-    for lang, stream in streams.items():
-        yield from flush(lang, stream)
-
-
-def _fed(pending: dict, streams: dict, make: Callable, window: int, flush: Callable) -> Iterator:
-    for lang, texts in pending.items():
-        if lang not in streams:
-            streams[lang] = make(lang)
-        stream = streams[lang]
-        for chunk in _chunks(b"\n".join([*texts, b""]).translate(_FOLD)):
-            stream.add(chunk)
-            if stream.size >= window:
-                yield from flush(lang, stream)
-    if sum(s.size for s in streams.values()) >= 2 * window:
-        for lang, stream in streams.items():
-            yield from flush(lang, stream)
+        yield from cut(pending)
 
 
-def _word_counter(seed: int, settings: PhraseSettings):
-    """(lang, word, code, n) of each window."""
+def _word_counter(settings: PhraseSettings):
+    """(lang, word, n) of the words of a task, some hundred thousand different ones at a time."""
 
-    def flush(lang: str, stream: _Stream) -> Iterator[pa.RecordBatch]:
-        if not stream.size:
-            return
-        numbers = stream.numbers
-        n = np.bincount(np.concatenate(stream.parts), minlength=len(numbers.codes))
-        words = [(w, k) for w, k in numbers.items() if k and n[k]]
-        yield pa.RecordBatch.from_arrays(
+    def rows(entry: tuple[str, Counter]) -> pa.RecordBatch:
+        lang, seen = entry
+        seen.pop(b"\n", None)
+        return pa.RecordBatch.from_arrays(
             [
-                pa.array([lang] * len(words), pa.string()),
-                pa.array([w for w, _ in words], pa.binary()).cast(pa.string()),
-                pa.array(np.array(numbers.codes, np.uint64)[[k for _, k in words]].view(np.int64)),
-                pa.array(n[[k for _, k in words]].astype(np.int64)),
+                pa.array([lang] * len(seen), pa.string()),
+                pa.array(list(seen), pa.binary()).cast(pa.string()),
+                pa.array(list(seen.values()), pa.int64()),
             ],
-            names=["lang", "word", "code", "n"],
+            names=["lang", "word", "n"],
         )
-        stream.restart()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = lambda lang: _Stream(lang, seed, lambda code: True, 1)
-        yield from _streamed(batches, {}, make, settings.window, flush)
+        counts: dict[str, Counter] = {}
+        for lang, chunk in _folded(batches):
+            held = counts.setdefault(lang, Counter())
+            held.update(_tokens(chunk))
+            if sum(map(len, counts.values())) > settings.words_held:
+                yield from map(rows, counts.items())
+                counts = {}
+        yield from map(rows, counts.items())
 
     return count
 
 
-def _phrase_counter(seed: int, settings: PhraseSettings, range_bits: int, words, pairs=None):
+def _phrase_counter(coding: Coding, settings: PhraseSettings, range_bits: int, words, pairs=None):
     """Automata of each window: the pairs of words that pass the gate, or with a gate of pairs the longer phrases."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,8 +387,18 @@ def _phrase_counter(seed: int, settings: PhraseSettings, range_bits: int, words,
                     names=["lang", "size", "part", "automaton"],
                 )
 
-        make = lambda lang: _Stream(lang, seed, admits, upto)
-        yield from _streamed(batches, {}, make, settings.window, flush)
+        streams: dict[str, _Stream] = {}
+        for lang, chunk in _folded(batches):
+            if lang not in streams:
+                streams[lang] = _Stream(lang, coding, admits, upto)
+            streams[lang].add(chunk)
+            if streams[lang].size >= settings.window:
+                yield from flush(lang, streams[lang])
+            elif sum(s.size for s in streams.values()) >= 2 * settings.window:
+                for each, stream in streams.items():
+                    yield from flush(each, stream)
+        for lang, stream in streams.items():
+            yield from flush(lang, stream)
 
     return count
 
@@ -436,18 +468,19 @@ def _composed(group: pa.Table) -> pa.Table:
     return pa.concat_tables(tables)
 
 
-def word_counts(docs: DataFrame, settings: PhraseSettings = PhraseSettings()) -> tuple[DataFrame, int]:
-    """(lang, word, code, n) of all words, and the seed by which no two words of a language share a code."""
-    seed = 0
+def word_counts(docs: DataFrame, settings: PhraseSettings = PhraseSettings()) -> tuple[DataFrame, Coding]:
+    """(lang, word, n, code) of all words, and a coding by which no two words of a language share a code."""
+    rows = docs.mapInArrow(_word_counter(settings), "lang string, word string, n long")
+    words, seen = stored(rows.groupBy("lang", "word").agg(F.sum("n").alias("n")), "phrase-words")
+    coding = Coding(bits=min(64, -(-(2 * seen["rows"].bit_length() + 3) // 8) * 8))
     while True:
-        rows = docs.mapInArrow(_word_counter(seed, settings), "lang string, word string, code long, n long")
-        words, _ = stored(rows.groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("n").alias("n")), "phrase-words")
-        if words.groupBy("lang", "code").count().filter("count > 1").isEmpty():
-            return words, seed
-        seed += 1
+        coded = words.withColumn("code", coding.column())
+        if coded.groupBy("lang", "code").count().filter("count > 1").isEmpty():
+            return coded, coding
+        coding = coding.wider()
 
 
-def candidates(docs: DataFrame, words: DataFrame, seed: int, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
+def candidates(docs: DataFrame, words: DataFrame, coding: Coding, settings: PhraseSettings = PhraseSettings()) -> DataFrame:
     """(lang, codes, a, begins) of all phrases of two words and more that are frequent enough.
 
     No phrase is more frequent than its parts. So pairs are counted where both words pass a gate
@@ -458,11 +491,11 @@ def candidates(docs: DataFrame, words: DataFrame, seed: int, settings: PhraseSet
     total = words.agg(F.sum("n")).first()[0] or 0
     range_bits = min(max(1, total // settings.range_words).bit_length() - 1, settings.most_ranges.bit_length() - 1)
     word_gate = _gate(frequent, settings)
-    pairs = _united(docs.mapInArrow(_phrase_counter(seed, settings, range_bits, word_gate), _AUTOMATA), settings, "phrase-pairs")
+    pairs = _united(docs.mapInArrow(_phrase_counter(coding, settings, range_bits, word_gate), _AUTOMATA), settings, "phrase-pairs")
     automata = pairs
     if settings.longest > 2:
         pair_gate = _gate(pairs.select("automaton").mapInArrow(_lead_codes, "code long"), settings)
-        longer = docs.mapInArrow(_phrase_counter(seed, settings, range_bits, word_gate, pair_gate), _AUTOMATA)
+        longer = docs.mapInArrow(_phrase_counter(coding, settings, range_bits, word_gate, pair_gate), _AUTOMATA)
         automata = pairs.union(_united(longer, settings, "phrase-longer"))
     composed = automata.groupBy("lang", "part").applyInArrow(_composed, "lang string, codes array<long>, a long, begins array<long>")
     return stored(composed, "phrase-candidates")[0]
@@ -515,10 +548,10 @@ def collocations(
     candidate has no row, an empty table none at all. Ties of score and count follow the phrase's
     bytes. Other columns of the input play no part.
 
-    1. Words are counted. Their 64-bit codes are tested against each other, and drawn again by
-       another seed should two ever meet.
+    1. Words are counted. Their codes are hashes of as many bytes as keep them apart at their
+       number; they are tested against each other, and made wider should two meet.
     2. Tasks number the words of a language and count a window of a few million at a time. The
-       sorted phrases of a window become automata, one for each range of their first two words.
+       sorted phrases of a window become automata, one for each range of their first word.
        Windows overlap where they cut a text.
     3. The automata of a range are united, in a tree where there are many, and sum their counts.
     4. Beginnings of a phrase are looked up in its range. Single words and endings are joined by
@@ -527,8 +560,8 @@ def collocations(
     rows = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text")
     ).filter("text is not null")
-    words, seed = word_counts(rows, settings)
-    found = candidates(rows, words, seed, settings)
+    words, coding = word_counts(rows, settings)
+    found = candidates(rows, words, coding, settings)
     frequent, _ = stored(words.filter(F.col("n") >= settings.least), "phrase-frequent")
     kept, _ = stored(_uncovered(found, settings), "phrase-kept")
 

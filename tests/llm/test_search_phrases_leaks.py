@@ -88,7 +88,7 @@ def test_decontaminated_documents(spark):
             assert r["text"] == "so. "
         if r["doc_id"] == 901:
             assert r["text"] == "The fox"
-        if r["doc_id"] == 9:
+        if r["doc_id"] == 9 and r["lang"] == "fr" and r["source"] == "a":
             assert r["text"] == "é ▁ 漢字 \u0000 end"
     clean = decontaminate.decontaminate(docs, tests, remove="documents").collect()
     assert len(clean) == sum(not leaks(t, items)[1] for _, t, *_ in rows)
@@ -225,7 +225,7 @@ def test_windows_overlap_and_long_texts_are_cut(monkeypatch):
     words = [draw.choice("a b c dd eee".split()) for _ in range(400)]
     text = " ".join(words).encode()
     assert b"".join(phrases._chunks(text)) == text
-    stream = phrases._Stream("en", 1, lambda code: True, 3)
+    stream = phrases._Stream("en", phrases.Coding(bits=40), lambda code: True, 3)
     found = Counter()
 
     def count():
@@ -243,8 +243,7 @@ def test_windows_overlap_and_long_texts_are_cut(monkeypatch):
             count()
     count()
     want = Counter(tuple(words[k : k + n]) for n in (2, 3) for k in range(len(words) - n + 1))
-    code = {w: phrases._Numbers(stream.numbers.seed, lambda c: True) for w in set(words)}
-    names = {w: (n[w.encode()], n.codes[1])[1] for w, n in code.items()}
+    names = {w: phrases.Coding(bits=40).of_language("en")(w.encode()) for w in set(words)}
     assert found == {tuple(names[w] for w in p): n for p, n in want.items()}
 
 
@@ -266,6 +265,23 @@ def test_automata():
     assert none.look_up(list(ask.T)).sum() == 0 and all(len(c) == 0 for c in phrases.CountAutomaton.from_bytes(none.to_bytes(), 3).phrases())
 
 
+def test_codes_are_the_same_in_spark_and_tasks(spark):
+    words = ["a", "éa", "", "w" * 70, "漢字"]
+    rows = spark.createDataFrame([("de", w) for w in words], "lang string, word string")
+    for coding in (phrases.Coding(), phrases.Coding(seed=3, bits=24), phrases.Coding(bits=24).wider()):
+        got = [r["code"] % 2**64 for r in rows.select(coding.column().alias("code")).collect()]
+        assert got == [coding.of_language("de")(w.encode()) for w in words]
+
+
+def test_words_that_share_a_code_get_wider_ones(spark, monkeypatch):
+    docs = documents(spark, prose(4, 60)).select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    narrow = phrases.Coding(bits=8)
+    monkeypatch.setattr(phrases, "Coding", lambda bits: narrow if bits < 64 else None)
+    monkeypatch.setattr(type(narrow), "wider", lambda self: type(narrow)(self.seed, self.bits + 8))
+    words, coding = phrases.word_counts(docs)
+    assert coding.bits > 8 and words.groupBy("lang", "code").count().filter("count > 1").isEmpty()
+
+
 def test_equal_endings_are_one_state():
     columns = [np.repeat(np.arange(50, dtype=np.uint64), 3), np.tile(np.array([4, 5, 9], np.uint64), 50)]
     automaton = phrases.CountAutomaton.build(columns, np.arange(150))
