@@ -55,15 +55,19 @@ _PLAIN = _plain_signs()
 _ODD = re.compile("[" + "".join(map(re.escape, _PLAIN)) + "]")
 _DIGIT_OF = {word: digit for digit, words in _DIGIT_WORDS.items() for word in words.split()}
 _WORD_DIGIT = "|".join(sorted(_DIGIT_OF, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:{_WORD_DIGIT}|[0-9+]+)[ ,.-]{{0,2}}){{2,}}(?:{_WORD_DIGIT}|[0-9]+)(?!\w)")
+#: A chain of digits and digit words with gaps of up to two signs. It gives nothing back, so a text is passed once.
+#: A digit word with another one or no letter behind it.
+_DIGIT_CELL = rf"(?:{_WORD_DIGIT})(?:(?={_WORD_DIGIT})|(?![^\W\d_]))"
+_CHAIN = re.compile(rf"(?i)(?<!\w)(?:{_DIGIT_CELL}|[0-9+]++)(?:[ ,.-]{{0,2}}(?:{_DIGIT_CELL}|[0-9+]++))*+")
+_CELL = re.compile(rf"(?i){_DIGIT_CELL}|[0-9+]+|[ ,.-]+")
 _SPELLED_ONE = re.compile(rf"(?i)(?<!\w)(?:{_WORD_DIGIT})(?!\w)")
-_SPELLED_GAP = re.compile(r"(?<=[0-9+])[ ,.-]{1,2}(?=[0-9])")
+_WORD_SIGN = re.compile(r"\w")
 _LETTER_DIGIT_HINT = re.compile(r"[0-9][OoIl]")
 _LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[ -]?[0-9])")
 _DOT = r"(?:\s?[(\[{<]\s?(?:dot|punkt|point|punto|\.)\s?[)\]}>]\s?|\s(?:dot|punkt|punto)\s|\s?\.)"
 _AT = r"(?:\s?[(\[{<]\s?(?:at|@|arroba)\s?[)\]}>]\s?|\s(?:at|arroba|@)\s|\s?@\s?)"
 _DISGUISED = re.compile(
-    rf"(?i)(?<![\w.%+-])([\w.%+-]{{1,64}}(?:{_DOT}[\w%+-]{{1,64}}){{0,4}})({_AT})([a-z0-9-]{{1,63}}(?:{_DOT}[a-z0-9-]{{1,63}}){{1,8}})(?![\w-]|{_AT})"
+    rf"(?i)(?<![\w.%+-])((?>[\w.%+-]{{1,64}})(?:(?!\.){_DOT}(?>[\w%+-][\w.%+-]{{0,63}})){{0,4}})({_AT})([a-z0-9-]{{1,63}}(?:{_DOT}[a-z0-9-]{{1,63}}){{1,8}})(?![\w-]|{_AT})"
 )
 #: Every match of _DISGUISED holds one of these: its at sign, a label, a dot sign and a sign of the next label.
 _DISGUISE_HINT = re.compile(
@@ -175,19 +179,35 @@ class Rewritten:
         return int(self.starts[start]), int(self.ends[stop - 1])
 
 
-def _spelled_edits(text: str) -> Iterator[tuple[int, int, str]]:
-    """Runs of three or more digits, some as words: words become digits, gaps between digits go."""
-    for run in _SPELLED.finditer(text):
-        if not _SPELLED_ONE.search(run[0]):
+def _spelled_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of three or more digits, one at least as a word, that end where a word can end."""
+    for chain in _CHAIN.finditer(text):
+        if not _SPELLED_ONE.search(chain[0]):
             continue
-        at = run.start()
-        cells = list(re.finditer(rf"(?i)(?:{_WORD_DIGIT})|[0-9+]+|[ ,.-]+", run[0]))
+        stop, units = None, 0
+        for cell in _CELL.finditer(text, chain.start(), chain.end()):
+            bare = cell[0].rstrip("+")
+            if cell[0][0] in " ,.-":
+                continue
+            single = cell[0].lower() in _DIGIT_OF
+            here = cell.start() + len(bare)
+            if bare and units + (1 if single else len(bare)) >= 3 and not _WORD_SIGN.match(text, here):
+                stop = here
+            units += 1 if single else len(cell[0])
+        if stop is not None and _SPELLED_ONE.search(text[chain.start() : stop]):
+            yield chain.start(), stop
+
+
+def _spelled_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    """Words of such a run become digits, gaps between its digits go."""
+    for start, stop in _spelled_runs(text):
+        cells = list(_CELL.finditer(text, start, stop))
         for k, cell in enumerate(cells):
             word = _DIGIT_OF.get(cell[0].lower())
             if word is not None:
-                yield at + cell.start(), at + cell.end(), word
+                yield cell.start(), cell.end(), word
             elif not cell[0][0].isdigit() and cell[0][0] != "+" and 0 < k < len(cells) - 1:
-                yield at + cell.start(), at + cell.end(), ""
+                yield cell.start(), cell.end(), ""
 
 
 def _address_edits(text: str) -> Iterator[tuple[int, int, str]]:
@@ -212,7 +232,7 @@ def plain_form(text: str) -> Rewritten | None:
     """The text with disguises undone; None if there is nothing to undo."""
     odd = not text.isascii() and not _PLAIN.keys().isdisjoint(set(text))
     spread = bool(_DISGUISE_HINT.search(text))
-    spelled = any(_SPELLED_ONE.search(run[0]) for run in _SPELLED.finditer(text))
+    spelled = next(_spelled_runs(text), None) is not None
     if not (odd or spread or spelled or _LETTER_DIGIT_HINT.search(text)):
         return None
     first = now = Rewritten.of(text)

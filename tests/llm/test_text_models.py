@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -223,3 +224,31 @@ def test_language_of_a_text_with_a_long_run(spark):
     docs = documents(spark, [(3, "the dog and the cat " + "\U00010348" * 300, None, "a")])
     (got,) = language_id.predict(docs, model).collect()
     assert got["lang_pred"] == "en" and 0 <= got["score"] <= 1
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "x " + "1" * 1_000_000 + "a y",
+        "sha1 " + "12345678901234567890abcdef" * 4000,
+        "1 2 3 " * 60_000 + "x",
+        "one " * 15_000 + "x",
+        "uno" * 100_000 + "q",
+        "+" * 300_000 + "one",
+        "a.b." * 100_000 + " (at) x dot com",
+        "a@" * 100_000 + " dot b",
+    ],
+)
+def test_personal_data_takes_linear_time(text):
+    start = time.process_time()
+    pii.find_spans(text)
+    assert time.process_time() - start < 10
+
+
+def test_runs_of_spelled_digits():
+    runs = lambda text: [text[a:b] for a, b in pii._spelled_runs(text)]
+    assert runs("call one 23 now") == ["one 23"]
+    assert runs("one two 34 56a") == ["one two 34"]
+    assert runs("unone five") == ["unone five"] and runs("1 2 3") == [] and runs("one two") == []
+    assert runs("plus four nine-1 7, zero 5+ x") == ["plus four nine-1 7, zero 5"]
+    assert runs("phone one two three") == ["one two three"]
