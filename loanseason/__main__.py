@@ -32,6 +32,8 @@ def _arguments() -> argparse.Namespace:
     step = steps.add_parser("features", help="build loan rows")
     step.add_argument("vintages", nargs="*")
     step.add_argument("--overwrite", action="store_true")
+    step.add_argument("--publish", action="store_true", help="readers see all of the write or nothing of it")
+    step.add_argument("--bucketed", action="store_true", help="read the store by loan")
     step.add_argument("--compression", default="snappy", choices=store.COMPRESSIONS)
 
     step = steps.add_parser("quality", help="check the contract; fails when a vintage fails")
@@ -39,6 +41,10 @@ def _arguments() -> argparse.Namespace:
 
     step = steps.add_parser("validate", help="profile one stored vintage")
     step.add_argument("vintage")
+    step.add_argument("--landing", help="folder of text files to hold the store against")
+
+    step = steps.add_parser("bucket", help="write the raw store once more, bucketed by loan")
+    step.add_argument("buckets", type=int)
 
     step = steps.add_parser("train", help="fit, score and report")
     step.add_argument("--rounds", type=int, default=TreeSettings().rounds)
@@ -76,7 +82,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         checked.show(truncate=False)
         return int(not checked.where("not present").isEmpty())
     if args.step == "features":
-        jobs.build_features(spark, layout, args.vintages, args.overwrite, args.compression).show(1000)
+        table = "raw_by_loan" if args.bucketed else None
+        jobs.build_features(spark, layout, args.vintages, args.overwrite, args.compression, table, args.publish).show(1000)
     elif args.step == "quality":
         contract = None
         if args.all_rules:
@@ -86,8 +93,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         report = jobs.check_quality(spark, layout, contract)
         quality.quality_summary(report).show(truncate=False)
         return quality.quality_summary(report).first().exit_status
+    elif args.step == "bucket":
+        print(jobs.bucket_raw(spark, layout, args.buckets), "rows")
     elif args.step == "validate":
-        for name, table in jobs.validate(spark, layout, args.vintage).items():
+        for name, table in jobs.validate(spark, layout, args.vintage, args.landing).items():
             print(name)
             table.show(100, truncate=False)
     elif args.step == "train":

@@ -341,6 +341,19 @@ ORACLES: dict[str, str] = {
     + """SELECT vintage, rows, CASE WHEN CAST(substr(vintage, 6, 1) AS INTEGER) % 2 = 0 THEN 'SKIP'
            WHEN CAST(substr(vintage, 1, 4) AS INTEGER) NOT IN (1996, 1997, 1998) THEN 'FILTER' ELSE 'OK' END AS status
          FROM (SELECT vintage, count(*) AS rows FROM panel GROUP BY vintage)""",
+    "ingest_convert": _with("panel")
+    + """SELECT vintage, CASE WHEN wanted THEN CASE WHEN hurt THEN 'FAIL' ELSE 'OK' END ELSE 'FILTER' END AS status,
+           CASE WHEN wanted THEN rows + CAST(hurt AS BIGINT) ELSE 0 END AS rows,
+           CASE WHEN wanted THEN CAST(hurt AS BIGINT) ELSE 0 END AS bad_lines,
+           CASE WHEN wanted AND NOT hurt THEN rows END AS stored_rows
+         FROM (SELECT vintage, count(*) AS rows, vintage = '1997Q1' AS hurt,
+                 CAST(substr(vintage, 1, 4) AS INTEGER) BETWEEN 1992 AND 1997 AS wanted FROM panel GROUP BY vintage)""",
+    "ingest_parity": _with("panel")
+    + """SELECT vintage, text_rows, stored_rows, coalesce(stored_rows, 0) - text_rows AS difference,
+           CASE WHEN stored_rows IS NULL THEN 'NOT STORED' WHEN stored_rows = text_rows THEN 'OK' ELSE 'DIFFERS' END AS verdict
+         FROM (SELECT vintage, count(*) + CAST(vintage = '1997Q1' AS BIGINT) AS text_rows,
+                 CASE vintage WHEN '1997Q1' THEN NULL WHEN '1996Q3' THEN count(*) FILTER (CAST(LOAN_ID AS BIGINT) % 2 = 0)
+                   ELSE count(*) END AS stored_rows FROM panel GROUP BY vintage)""",
     "vintage_parse": _with("panel")
     + """SELECT text, good AS valid, CASE WHEN good THEN CAST(substr(text, 1, 4) AS INTEGER) END AS year,
            CASE WHEN good THEN substr(text, 5, 2) END AS quarter
@@ -391,6 +404,7 @@ ORACLES: dict[str, str] = {
     + """SELECT vintage, LOAN_ID, observed_through_age, ever_terminal, first_terminal_age, eligible,
            CASE WHEN observed_through_age > 12 THEN eligible ELSE 0 END AS eligible_strict FROM plain""",
     "loan_features": _with("loans") + f"SELECT {_rounded(FEATURE_ROW_COLUMNS)} FROM loans",
+    "loan_features_bucketed": _with("loans") + f"SELECT {_rounded(FEATURE_ROW_COLUMNS)} FROM loans",
     "features_no_macro": _with("plain") + f"SELECT {_rounded(FEATURE_ROW_COLUMNS)} FROM plain",
     "macro_monthly": _with("rates")
     + """SELECT period_mmyyyy, date, round(mortgage30us, 6) AS mortgage30us, round(unrate, 6) AS unrate,

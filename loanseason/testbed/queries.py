@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from ..schema import (
 )
 from ..session import materialise, scratch_path, stored
 from ..sources import landing as landing_source
-from ..sources import panel_text, store
+from ..sources import panel_text, parity, store
 from ..sources.catalog import catalog_counts
 from . import tables
 
@@ -114,6 +115,44 @@ def raw_scan(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("vintage").agg(F.count("*").alias("rows"), *known, *sums)
 
 
+def _landed(spark: SparkSession, sf: str) -> str:
+    """The panel as text, with a line in the files of 1997Q1 that no reader takes."""
+    text = scratch_path(spark, "text")
+    panel_text.write_panel_text(tables.panel(spark, sf), text)
+    broken = spark.createDataFrame([("|".join(["x"] * 110),)], "value string")
+    broken.coalesce(1).write.mode("append").text(f"{text}/file=1997Q1.csv")
+    return text
+
+
+def ingest_convert(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversion of all files: what became of each vintage, and the rows and files' footers of the store."""
+    text, root = _landed(spark, sf), scratch_path(spark, "raw")
+    status = landing_source.convert(spark, text, root, only_years=range(1992, 1998))
+    found = parity.stored_rows(spark, root).select("vintage", "stored_rows")
+    return status.join(found, "vintage", "left")
+
+
+def ingest_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Text against store, where the store has lost every other loan of 1996Q3 and has no 1997Q1 at all."""
+    text, root = _landed(spark, sf), scratch_path(spark, "raw")
+    landing_source.convert(spark, text, root)
+    hurt = store.read_raw(spark, root).where("vintage = '1996Q3' AND CAST(LOAN_ID AS BIGINT) % 2 = 0").drop("vintage")
+    store.write_raw(materialise(hurt), root, overwrite=True)
+    rows = parity.ingest_parity(spark, text, root)
+    return rows.select("vintage", "text_rows", "stored_rows", "difference", "verdict")
+
+
+def bucketed_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The loan rows again, from a store in which all months of a loan share a bucket."""
+    root, table = scratch_path(spark, "bucketed"), f"months_{uuid.uuid4().hex}"
+    panel = tables.panel(spark, sf).withColumns(
+        {"orig_year": vintage_year(F.col("vintage")), "orig_qtr": vintage_quarter(F.col("vintage"))}
+    )
+    store.write_bucketed(panel.drop("vintage"), root, table, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    months = store.open_bucketed(spark, root, table)
+    return rounded(loans.loan_features(months, rates(spark, sf), price_index(spark, sf)))
+
+
 def ingest_status(spark: SparkSession, sf: str) -> DataFrame:
     landed = tables.panel(spark, sf).groupBy("vintage").agg(F.count("*").alias("rows"))
     quarter = F.substring("vintage", 6, 1).cast("int")
@@ -281,6 +320,8 @@ def _groups(step: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "raw_scan": raw_scan,
     "ingest_status": ingest_status,
+    "ingest_convert": ingest_convert,
+    "ingest_parity": ingest_parity,
     "vintage_parse": vintage_parse,
     "effective_age": effective_age,
     "panel_profile": _panel(profile.panel_profile),
@@ -296,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "labels": _panel(loans.labels),
     "eligibility": eligibility,
     "loan_features": lambda s, d: rounded(features(s, d)),
+    "loan_features_bucketed": bucketed_features,
     "features_no_macro": lambda s, d: rounded(plain_features(s, d)),
     "macro_monthly": lambda s, d: rounded(rates(s, d)),
     "hpi_yoy": lambda s, d: rounded(price_index(s, d)),

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from loanseason.operators import loans
 from loanseason.schema import CORE_COLUMNS, panel_schema
-from loanseason.sources import catalog, landing, market_files, panel_text, reports, store
+from loanseason.session import materialise
+from loanseason.sources import catalog, files, landing, market_files, panel_text, parity, published, reports, store
 from loanseason.streaming.landing import convert_new_files
 from loanseason.testbed import tables
 
@@ -191,3 +192,78 @@ def test_reports_keep_commas_and_views_count(spark, tmp_path, panel_rows):
     assert (counts["raw_monthly"], counts["features_test"], counts["features_val"]) == (2, 1, 0)
     checked = catalog.source_check(spark, {"scores": f"{tmp_path}/scores", "none": f"{tmp_path}/none"}).collect()
     assert [(r.source, r.present, r.rows) for r in checked] == [("scores", True, 1), ("none", False, 0)]
+
+
+def test_text_and_store_are_held_against_each_other(spark, tmp_path):
+    land, root = f"{tmp_path}/land", f"{tmp_path}/raw"
+    put(land, "2018Q1.csv", GOOD)
+    put(land, "late_2018Q1.csv", [*GOOD[:1], "", "  "])
+    put(land, "2018Q2.csv", GOOD + ["1|2|3"])
+    put(land, "2018Q3.csv", GOOD)
+    landing.convert(spark, land, root)
+    put(land, "2018Q3.csv", GOOD[:1])
+    moved = store.read_raw(spark, root).where("vintage = '2018Q3'").withColumn("orig_year", F.lit(2019)).drop("vintage")
+    store.write_raw(materialise(moved), root, overwrite=True)
+    got = {r.vintage: (r.text_rows, r.stored_rows, r.difference, r.verdict) for r in parity.ingest_parity(spark, land, root).collect()}
+    assert got == {
+        "2018Q1": (3, 3, 0, "OK"),
+        "2018Q2": (3, None, -3, "NOT STORED"),
+        "2018Q3": (1, 2, 1, "DIFFERS"),
+        "2019Q3": (None, 2, 2, "NO TEXT"),
+    }
+    one = parity.ingest_parity(spark, land, root, ["2018Q1"]).collect()
+    assert [(r.vintage, r.text_files, r.verdict) for r in one] == [("2018Q1", 2, "OK")]
+    assert parity.ingest_parity(spark, f"{tmp_path}/none", root).where("verdict <> 'NO TEXT'").isEmpty()
+
+
+def test_a_store_by_loan_is_opened_by_another_application(spark, tmp_path):
+    panel = tables.panel(spark, SF).withColumns({"orig_year": F.substring("vintage", 1, 4).cast("int"), "orig_qtr": F.substring("vintage", 5, 2)})
+    root = f"{tmp_path}/by_loan"
+    assert store.write_bucketed(panel.drop("vintage"), root, "by_loan_here", 3) == panel.count()
+    back = store.open_bucketed(spark, root, "by_loan_elsewhere").select("vintage", *CORE_COLUMNS)
+    assert back.exceptAll(panel.select("vintage", *CORE_COLUMNS)).isEmpty() and back.count() == panel.count()
+    for name in ("by_loan_here", "by_loan_elsewhere"):
+        text = loans.loan_features(store.open_bucketed(spark, root, name))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in text and "Bucketed: true" in text
+
+
+def test_published_partitions_show_as_a_whole(spark, tmp_path):
+    root = f"{tmp_path}/features"
+    rows = lambda *pairs: spark.createDataFrame(pairs, "vintage string, x int")
+    read = lambda: sorted(tuple(r) for r in store.read_features(spark, root).select("vintage", "x").collect())
+    assert store.publish_features(rows(("2018Q1", 1), ("2018Q1", 2), ("2018Q2", 3)), root) == 3
+    before = store.read_features(spark, root)
+    with pytest.raises(FileExistsError):
+        store.publish_features(rows(("2018Q2", 9)), root)
+    assert read() == [("2018Q1", 1), ("2018Q1", 2), ("2018Q2", 3)]
+
+    breaks = F.udf(lambda x: 1 // 0 if x == 8 else x, "int")
+    with pytest.raises(Exception, match="(?i)division"):
+        store.publish_features(rows(("2018Q1", 7), ("2018Q1", 8)).repartition(2).withColumn("x", breaks("x")), root, overwrite=True)
+    assert read() == [("2018Q1", 1), ("2018Q1", 2), ("2018Q2", 3)]
+
+    assert store.publish_features(rows(("2018Q1", 5), ("2018Q3", 6)), root, overwrite=True) == 2
+    assert read() == [("2018Q1", 5), ("2018Q2", 3), ("2018Q3", 6)]
+    assert before.count() == 3 and set(before.columns) == {"vintage", "x"}
+    assert published.drop_unlisted(spark, root) == []
+    store.publish_features(rows(("2018Q2", 4)), root, overwrite=True)
+    assert len(published.drop_unlisted(spark, root)) == 1
+    assert read() == [("2018Q1", 5), ("2018Q2", 4), ("2018Q3", 6)]
+
+
+def test_a_writer_takes_over_what_others_publish(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/raw"
+    rows = lambda quarter: spark.createDataFrame([(2018, quarter, 1)], "orig_year int, orig_qtr string, x int")
+    put_new, calls = files.put_new, []
+
+    def late(spark, path, text):
+        if not calls:
+            calls.append(path)
+            published.publish(rows("Q2"), root, store.RAW_KEYS)
+        return put_new(spark, path, text)
+
+    monkeypatch.setattr(files, "put_new", late)
+    published.publish(rows("Q1"), root, store.RAW_KEYS)
+    assert store.stored_vintages(spark, root) == ["2018Q1", "2018Q2"]
+    assert {r.vintage for r in store.read_raw(spark, root).collect()} == {"2018Q1", "2018Q2"}
+    assert not put_new(spark, calls[0], "other")
