@@ -464,6 +464,20 @@ ORACLES: dict[str, str] = {
          SELECT c.split, c.loans, c.col || '_' || c.level AS encoded, count(l.level) AS ones
          FROM cells c LEFT JOIN long l ON l.split = c.split AND l.col = c.col AND l.level = c.level
          GROUP BY ALL""",
+    "onehot_sparse": _with("plain")
+    + f""", e AS MATERIALIZED (SELECT *, {_split('vintage')} AS split FROM plain WHERE eligible = 1),
+         long AS MATERIALIZED ({_LEVELS}),
+         cells AS (SELECT s.split, s.loans, k.col, k.level
+                   FROM (SELECT split, count(*) AS loans FROM e GROUP BY split) s,
+                        (SELECT DISTINCT col, level FROM long WHERE split = 'train') k)
+         SELECT c.split, c.loans, c.col || '_' || c.level AS encoded, count(l.level) AS ones
+         FROM cells c LEFT JOIN long l ON l.split = c.split AND l.col = c.col AND l.level = c.level
+         GROUP BY ALL""",
+    "loans_by_range": _with("panel")
+    + """SELECT first, last, count(*) AS rows, count(DISTINCT LOAN_ID) AS loans, true AS sketch_is_near
+         FROM panel JOIN (SELECT y || 'Q1' AS first, y || 'Q4' AS last FROM range(1992, 1999) AS t(y)
+                          UNION ALL VALUES ('1992Q1', '1998Q4'), ('1993Q3', '1996Q2')) ON vintage BETWEEN first AND last
+         GROUP BY first, last""",
     "scaled_stats": _with("loans") + f", train AS MATERIALIZED ({_eligible_split('loans', 'train')}) " + _scales(),
     "stratified_sample": _with("plain")
     + f""", v AS (SELECT LOAN_ID, y_delinq_90p AS y_true, (CAST(LOAN_ID AS BIGINT) * 7919 + 546) % 1000003 AS h

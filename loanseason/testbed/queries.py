@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..config import NetworkSettings, TreeSettings
 from ..functions.dates import is_vintage, vintage_quarter, vintage_year
-from ..operators import loans, market, models, prep, profile, quality, ranking, sampling, scoring, splits
+from ..operators import loan_counts, loans, market, models, prep, profile, quality, ranking, sampling, scoring, splits
 from ..operators.panel import core_columns, with_effective_age
 from ..schema import (
     ALL_FEATURES,
@@ -225,6 +225,39 @@ def onehot(spark: SparkSession, sf: str) -> DataFrame:
     return sums.unpivot(["split", "loans"], list(encoded), "encoded", "ones")
 
 
+def onehot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counts from sparse vectors, whose levels are no columns."""
+    coded = loans.loan_features(tables.panel(spark, sf), columns=[*CATEGORICAL_FEATURES, "eligible"])
+    rows = splits.with_split(coded, tables.BANDS).where("eligible = 1")
+    rows = materialise(rows.select("split", *CATEGORICAL_FEATURES))
+    encoder = prep.SparseLevels.fit(rows.where("split = 'train'"))
+    names = spark.createDataFrame(list(enumerate(encoder.names)), "place int, encoded string")
+    places = F.from_json(F.to_json(F.struct("levels")), "levels struct<indices: array<int>>")["levels"]["indices"]
+    ones = encoder.transform(rows).select("split", F.explode(places).alias("place")).groupBy("split", "place").agg(F.count("*").alias("ones"))
+    every = rows.groupBy("split").agg(F.count("*").alias("loans")).select("split", "loans", F.explode(F.lit(list(range(len(encoder.names))))).alias("place"))
+    return (
+        every.join(names, "place")
+        .join(ones, ["split", "place"], "left")
+        .select("split", "loans", "encoded", F.coalesce("ones", F.lit(0)).alias("ones"))
+    )
+
+
+def loans_by_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct loans of ranges of vintages, counted exactly, and whether the merged sketches come close."""
+    panel, root = tables.panel(spark, sf), scratch_path(spark, "sketches")
+    loan_counts.refresh_sketches(panel.where("vintage < '1996Q1'"), root)
+    loan_counts.refresh_sketches(panel, root)
+    ranges = [*((f"{y}Q1", f"{y}Q4") for y in range(1992, 1999)), ("1992Q1", "1998Q4"), ("1993Q3", "1996Q2")]
+    merged = loan_counts.loans_in_ranges(loan_counts.read_sketches(spark, root), ranges)
+    named = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("last")) for a, b in ranges])
+    exact = (
+        panel.select("vintage", "LOAN_ID").distinct().select("vintage", "LOAN_ID", F.explode(named).alias("r"))
+        .where("vintage BETWEEN r.first AND r.last").groupBy("r.first", "r.last").agg(F.count_distinct("LOAN_ID").alias("loans"))
+    )
+    near = F.abs(F.col("estimate") - F.col("loans")) <= loan_counts.STATED_ERROR * F.col("loans")
+    return merged.join(exact, ["first", "last"]).select("first", "last", "rows", "loans", near.alias("sketch_is_near"))
+
+
 def scaled_stats(spark: SparkSession, sf: str) -> DataFrame:
     train = _numeric_train(spark, sf)
     filled = prep.impute(train, prep.medians(train))
@@ -358,6 +391,8 @@ QUERIES: dict[str, Query] = {
     "class_weights": _loans(lambda f: splits.class_weights(f, "train", tables.BANDS)),
     "impute_medians": impute_medians,
     "onehot": onehot,
+    "onehot_sparse": onehot_sparse,
+    "loans_by_range": loans_by_range,
     "scaled_stats": scaled_stats,
     "stratified_sample": stratified,
     "scorecard": scored,
