@@ -101,8 +101,10 @@ def own_licences(
     """The best template for each text that comes near one: ``text_key``, ``own_license``, ``own_score``.
 
     Every line of a text is compared, every run of up to ``longest`` neighbouring lines, so that a
-    notice may be wrapped, and the text as a whole, by the cosine of term counts times rarity. Equal texts are compared once. A text without a deciding term cannot reach the
-    threshold and is not split. Scores are compared to nine places; ties go to the licence first
+    notice may be wrapped, and the text as a whole, by the cosine of term counts times rarity. Equal
+    texts are compared once. A text without a deciding term cannot reach the threshold and is not
+    split. The others are few, but split they take up to 36 times their size in one row, so texts
+    of some ten million characters want large executors. Scores are compared to nine places; ties go to the licence first
     by name, then to the earliest line.
     """
     counted = [Counter(_template_terms(text)) for _, text in templates]
@@ -123,6 +125,7 @@ def own_licences(
         .select(F.md5(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
         .groupBy("text_key")
         .agg(F.first("text").alias("text"))
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "text_key")
     )
     units = (
         near.select("text_key", F.split("text", "\n").alias("lines"))
@@ -187,39 +190,39 @@ def scan(
     inherits nothing. Repeated rows and paths are judged row by row. Result columns replace input
     columns of the same name.
     """
-    own = own_licences(files, text_col, threshold, templates, longest)
+    own = own_licences(files, text_col, threshold, templates, longest).withColumnRenamed("text_key", "__key")
     is_file = F.col(path_col).rlike(LICENCE_FILE) if declares is None else declares
     rows = (
-        without(files, *RESULT, "text_key", "dir", "declares")
-        .withColumn("text_key", F.md5(text_or_empty(F.col(text_col))))
-        .withColumn("declares", F.coalesce(is_file, F.lit(False)))
-        .withColumn("dir", parent(F.col(path_col)))
+        without(files, *RESULT)
+        .withColumn("__key", F.md5(text_or_empty(F.col(text_col))))
+        .withColumn("__declares", F.coalesce(is_file, F.lit(False)))
+        .withColumn("__dir", parent(F.col(path_col)))
         .drop(text_col)
     )
-    judged, _ = stored(rows.join(own, "text_key", "left").drop("text_key"), "licence-files")
+    judged, _ = stored(rows.join(own, "__key", "left").drop("__key"), "licence-files")
     stated = (
-        judged.filter("declares and own_license is not null and dir is not null")
-        .groupBy("dir")
+        judged.filter("__declares and own_license is not null and __dir is not null")
+        .groupBy("__dir")
         .agg(F.min(F.struct(F.col(path_col).alias("license_path"), F.col("own_license").alias("license"))).alias("file"))
     )
-    stated, _ = stored(stated.select(F.col("dir").alias("above"), "file"), "licence-stated")
-    parts = F.split("dir", "/")
+    stated, _ = stored(stated.select(F.col("__dir").alias("above"), "file"), "licence-stated")
+    parts = F.split("__dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
     nearest = (
-        judged.select("dir")
-        .filter("dir is not null")
+        judged.select("__dir")
+        .filter("__dir is not null")
         .distinct()
-        .select("dir", F.explode(F.array_distinct(above)).alias("above"))
+        .select("__dir", F.explode(F.array_distinct(above)).alias("above"))
         .join(stated, "above")
-        .groupBy("dir")
+        .groupBy("__dir")
         .agg(F.max(F.struct(F.length("above").alias("depth"), "file")).alias("found"))
-        .select("dir", F.col("found.file").alias("file"))
+        .select("__dir", F.col("found.file").alias("__file"))
     )
     nearest, _ = stored(nearest, "licence-nearest")
     has_own = F.col("own_license").isNotNull()
     return (
-        judged.join(nearest, "dir", "left")
-        .withColumn("license", F.when(has_own, F.col("own_license")).otherwise(F.col("file.license")))
-        .withColumn("license_path", F.when(has_own, F.col(path_col)).otherwise(F.col("file.license_path")))
-        .drop("dir", "declares", "file")
+        judged.join(nearest, "__dir", "left")
+        .withColumn("license", F.when(has_own, F.col("own_license")).otherwise(F.col("__file.license")))
+        .withColumn("license_path", F.when(has_own, F.col(path_col)).otherwise(F.col("__file.license_path")))
+        .drop("__dir", "__declares", "__file")
     )

@@ -98,9 +98,12 @@ frequency AS (
 ), goal AS (
     SELECT no, license, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY no)) AS weight
     FROM template_terms JOIN rare USING (term)
+), runs AS (
+    SELECT doc_id, array_to_string(lines[start_no:start_no + width - 1], chr(10)) AS line, 10 * start_no + width AS place
+    FROM (SELECT doc_id, string_split(body, chr(10)) AS lines FROM files), range(1, len(lines) + 1) AS a(start_no), range(1, 9) AS b(width)
+    WHERE start_no + width - 1 <= len(lines)
 ), pieces AS (
-    SELECT doc_id, unnest(string_split(body, chr(10))) AS line, unnest(range(len(string_split(body, chr(10))))) AS place FROM files
-    UNION ALL SELECT doc_id, body, -1 FROM files
+    SELECT * FROM runs UNION ALL SELECT doc_id, body, -1 FROM files
 ), counted AS (
     SELECT doc_id, place, term, count(*) AS n FROM (
         SELECT doc_id, place, unnest({_TERMS.format("line")}) AS term FROM pieces WHERE regexp_matches(line, '(?i)(licen|permission|redistribut|software|copyright|mozilla|creative)')
@@ -117,8 +120,7 @@ scores AS (
 ), judged AS (SELECT * FROM files LEFT JOIN own USING (doc_id)),
 stated AS (
     SELECT folder, arg_min(own_license, path) AS folder_license, min(path) AS folder_path FROM judged
-    WHERE own_license IS NOT NULL
-      AND regexp_matches(lower(string_split(body, chr(10))[1]), 'licen[sc]ed under|under the [a-z]+ licen[sc]e') GROUP BY folder
+    WHERE own_license IS NOT NULL GROUP BY folder
 )
 SELECT doc_id, own_license, round(own_score, 6) AS own_score, coalesce(own_license, folder_license) AS license,
        CASE WHEN own_license IS NULL THEN folder_path ELSE path END AS license_path

@@ -68,15 +68,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files below source and language. One whose first line states a licence states
-    it for its directory."""
+    """Documents as files below source and language. One that states a licence anywhere states it for its directory."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
         "text",
         F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")), "doc_id").alias("path"),
     )
-    heads = F.lower(F.substring_index("text", "\n", 1)).rlike("licen[sc]ed under|under the [a-z]+ licen[sc]e")
-    return licences.scan(docs, declares=heads).select(
+    return licences.scan(docs, declares=F.lit(True)).select(
         "doc_id", "own_license", F.round("own_score", 6).alias("own_score"), "license", "license_path"
     )
 

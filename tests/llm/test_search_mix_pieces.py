@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loanseason.llm import cover_tree, licences, mixing, pieces
+from loanseason.llm import cover_tree, licences, mixing, pieces, queries
 
 from .helpers import documents, odd_rows
 
@@ -268,3 +268,17 @@ def test_licences_are_inherited_in_the_given_table(spark):
     heirs = [r for r in rows if r["own_license"] is None]
     assert [(r["license_path"], r["license"]) for r in heirs] == [nearest(r["path"]) for r in heirs]
     assert sum(r["license"] is not None for r in heirs) > 0
+
+
+def test_licence_scan_keeps_columns_of_any_name(spark):
+    rows = [("a/LICENSE", licences.TEMPLATES[0][1], "f", "d", "c", "k"), ("a/b/x.py", "code", "f", "d", "c", "k"), (None, None, None, None, None, None)]
+    names = ["file", "dir", "declares", "text_key"]
+    files = spark.createDataFrame(rows, "path string, text string, " + ", ".join(f"{n} string" for n in names))
+    out = {r["path"]: r for r in licences.scan(files).collect()}
+    assert out["a/b/x.py"]["license"] == licences.TEMPLATES[0][0] and out["a/b/x.py"]["license_path"] == "a/LICENSE"
+    assert [out["a/b/x.py"][n] for n in names] == ["f", "d", "c", "k"] and out[None]["license"] is None
+
+
+def test_documents_inherit_licences_in_the_query(spark):
+    rows = queries.op6_license_scan(spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["own_license"] is None and r["license"] is not None for r in rows) > 0
