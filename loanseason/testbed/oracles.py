@@ -448,6 +448,11 @@ ORACLES: dict[str, str] = {
            coalesce(string_agg(vintage, ',' ORDER BY vintage) FILTER (WHERE NOT passed), '') AS failed_vintages,
            max(CASE WHEN passed THEN 0 ELSE 1 END) AS exit_status FROM ({_quality(tables.CONTRACT)})""",
     "coverage": _with("loans") + f"SELECT vintage, n_rows, n_eligible, passed FROM ({_quality(tables.CONTRACT)})",
+    "drift": _with("loans") + f"SELECT vintage, delinq_rate, prepay_rate FROM ({_quality(tables.CONTRACT)})",
+    "model_reload": _with("plain")
+    + f"""SELECT task, split, count(*) AS loans, 0.0::DOUBLE AS off_by
+         FROM (SELECT {_split('vintage')} AS split, unnest(['delinq', 'prepay']) AS task FROM plain WHERE eligible = 1)
+         GROUP BY task, split""",
     "class_weights": _with("plain")
     + f""", t AS ({_eligible_split('plain', 'train')}), c AS (
            SELECT 'delinq' AS task, count(*) AS n, CAST(sum(y_delinq_90p) AS BIGINT) AS pos FROM t

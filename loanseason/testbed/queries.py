@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import NetworkSettings, TreeSettings
 from ..functions.dates import is_vintage, vintage_quarter, vintage_year
-from ..operators import loan_counts, loans, market, models, prep, profile, quality, ranking, sampling, scoring, splits
+from ..operators import loan_counts, loans, market, models, prep, profile, quality, ranking, sampling, scoring, splits, tree_nodes
 from ..operators.panel import core_columns, with_effective_age
 from ..schema import (
     ALL_FEATURES,
@@ -23,7 +25,7 @@ from ..schema import (
 )
 from ..session import materialise, scratch_path, stored
 from ..sources import landing as landing_source
-from ..sources import panel_text, parity, store
+from ..sources import panel_text, parity, reports, store
 from ..sources.catalog import catalog_counts
 from . import tables
 
@@ -291,6 +293,21 @@ def _model_frame(spark: SparkSession, sf: str) -> DataFrame:
     return stored(models.model_frame(features(spark, sf, wanted), tables.BANDS), "model-frame")[0]
 
 
+def _once(fit: Callable) -> Callable:
+    """A fit is made once for a session and folder; several keys show results of it."""
+    held: dict[tuple[str, str], object] = {}
+
+    @functools.wraps(fit)
+    def made(spark: SparkSession, sf: str):
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in held:
+            held[key] = fit(spark, sf)
+        return held[key]
+
+    return made
+
+
+@_once
 def _trees(spark: SparkSession, sf: str):
     """The model rows, the inputs and one tree model for each task."""
     frame = _model_frame(spark, sf)
@@ -298,6 +315,7 @@ def _trees(spark: SparkSession, sf: str):
     return frame, inputs, {task: models.fit_trees(frame, inputs, task, TREES) for task in TARGETS}
 
 
+@_once
 def _network(spark: SparkSession, sf: str):
     frame = _model_frame(spark, sf)
     fitted = prep.Preprocessor.fit(frame.where("split = 'train'"))
@@ -332,6 +350,24 @@ def training_curve(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(parts[0].unionByName(parts[1]))
 
 
+def model_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Trees saved, loaded and applied again: loans per split, and how far any score is off."""
+    frame, inputs, fits = _trees(spark, sf)
+    parts = []
+    for task, fit in fits.items():
+        place, about = scratch_path(spark, "model"), scratch_path(spark, "inputs")
+        fit.model.write().save(place)
+        reports.write_state(spark, inputs.state() | {"rounds": fit.rounds}, about)
+        state = reports.read_state(spark, about)
+        again = models.TreeFit.of(GBTClassificationModel.load(place), tree_nodes.saved_nodes(spark, place), state["rounds"])
+        first = models.score_with_trees(frame, inputs, fit, task)
+        second = models.score_with_trees(frame, models.TreeInputs.from_state(state), again, task)
+        keys = ["task", "split", "vintage", "LOAN_ID"]
+        both = first.join(second.select(*keys, F.col("y_score").alias("again")), keys)
+        parts.append(both.groupBy("task", "split").agg(F.count("*").alias("loans"), F.max(F.abs(F.col("y_score") - F.col("again"))).alias("off_by")))
+    return rounded(parts[0].unionByName(parts[1]))
+
+
 def tree_attributions(spark: SparkSession, sf: str) -> DataFrame:
     frame, inputs, fits = _trees(spark, sf)
     parts = [models.tree_attributions(fits[t], inputs, frame, t, "val") for t in TARGETS]
@@ -388,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "dq_report_all_rules": lambda s, d: report(s, d, tables.CONTRACT_ALL),
     "dq_summary": lambda s, d: quality.quality_summary(report(s, d)),
     "coverage": lambda s, d: quality.coverage(report(s, d)),
+    "drift": lambda s, d: quality.drift(report(s, d)),
     "class_weights": _loans(lambda f: splits.class_weights(f, "train", tables.BANDS)),
     "impute_medians": impute_medians,
     "onehot": onehot,
@@ -412,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "attribution_top": attribution_table,
     "attribution_compare": lambda s, d: scoring.compare_attributions(materialise(attribution_table(s, d))),
     "gbt_scores": gbt_scores,
+    "model_reload": model_reload,
     "joint_scores": joint_scores,
     "network_history": network_history,
     "importance": importance,
