@@ -202,20 +202,17 @@ def report(spark: SparkSession, sf: str, contract=tables.CONTRACT) -> DataFrame:
     return quality.quality_report(features(spark, sf, [*sorted(limited), *TARGETS.values(), "eligible"]), contract)
 
 
-def _numeric_train(spark: SparkSession, sf: str) -> DataFrame:
+def _numeric_train(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     rows = features(spark, sf, [*NUMERIC_FEATURES, "eligible"])
-    return stored(splits.load_split(rows, "train", tables.BANDS, NUMERIC_FEATURES), "numeric-train")[0]
+    train, seen = stored(splits.load_split(rows, "train", tables.BANDS, NUMERIC_FEATURES), "numeric-train")
+    return train, seen["rows"]
 
 
 def impute_medians(spark: SparkSession, sf: str) -> DataFrame:
-    train = _numeric_train(spark, sf)
-    fitted = prep.medians(train)
-    absent = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in NUMERIC_FEATURES])
-    filled = absent.unpivot([], NUMERIC_FEATURES, "feature", "filled")
-    median = F.when(F.lit(False), F.lit(None).cast("double"))
-    for name, value in fitted.items():
-        median = median.when(F.col("feature") == name, F.lit(value).cast("double"))
-    return filled.select("feature", F.round(median, 6).alias("median"), "filled")
+    train, count = _numeric_train(spark, sf)
+    fitted = [(c, middle, count - known) for c, (middle, known) in prep.counted_medians(train).items()]
+    filled = spark.createDataFrame(fitted, "feature string, median double, filled long")
+    return filled.select("feature", F.round("median", 6).alias("median"), "filled")
 
 
 def onehot(spark: SparkSession, sf: str) -> DataFrame:
@@ -261,7 +258,7 @@ def loans_by_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scaled_stats(spark: SparkSession, sf: str) -> DataFrame:
-    train = _numeric_train(spark, sf)
+    train, _ = _numeric_train(spark, sf)
     filled = prep.impute(train, prep.medians(train))
     scales = prep.fit_scales(filled, {c: F.col(c).cast("double") for c in NUMERIC_FEATURES})
     rows = spark.createDataFrame([(c, *scale) for c, scale in scales.items()], "feature string, mean double, scale double")
