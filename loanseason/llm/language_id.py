@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +18,12 @@ from loanseason.llm.pieces import MODEL_PATH, load_vocabulary
 from loanseason.session import stored
 
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
-#: Longer runs of letters are scored in parts, which bounds the memory of a word.
-_LONGEST_RUN = 300
+#: A letter and what follows it, vowel signs and other marks among it.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
+#: Longer words go one by one, with the sums that are still needed alone. What is summed is the same.
+_AT_ONCE = 300
+#: Characters of a long word whose pieces are looked up together, in rows of so many starts.
+_SECTION, _ROW = 64_000, 64
 #: Every character carries this factor while products are formed, about the inverse of what it costs.
 _PER_CHARACTER = 100.0
 #: Sums are looked at after so many characters, and rescaled if one has left this range.
@@ -29,6 +32,8 @@ _WORDS_AT_ONCE = 20_000
 _HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 20
 _TABLE_SHIFT = np.uint64(64 - _TABLE_BITS)
+#: Expectations are added up as whole numbers of such parts, in any order with the same result.
+_PARTS = 1_000_000
 _REMEMBERED = 400_000
 _SLICE_CHARACTERS = 2_000_000
 
@@ -56,21 +61,19 @@ def piece_index(path: str = MODEL_PATH) -> PieceIndex:
 
 def words_in(token: str) -> list[str]:
     """Runs of letters, each with the space that marks its start."""
-    found = []
-    for run in _LETTERS.findall(token):
-        found += [" " + run[k : k + _LONGEST_RUN] for k in range(0, len(run), _LONGEST_RUN)]
-    return found
+    return [" " + run for run in ([token] if token.isalpha() else _LETTERS.findall(token))]
 
 
 def _by_length(words: Iterable[str]) -> Iterator[tuple[int, list[int], list[str]]]:
-    """Groups of equally long words with their places, at most _WORDS_AT_ONCE at a time."""
+    """Groups of equally long words with their places, as many at a time as bounded memory holds."""
     groups: dict[int, list[int]] = defaultdict(list)
     words = list(words)
     for place, word in enumerate(words):
         groups[len(word)].append(place)
     for length, places in groups.items():
-        for k in range(0, len(places), _WORDS_AT_ONCE):
-            part = places[k : k + _WORDS_AT_ONCE]
+        some = max(1, min(_WORDS_AT_ONCE, 1_000_000 // length)) if length <= _AT_ONCE else 1
+        for k in range(0, len(places), some):
+            part = places[k : k + some]
             yield length, part, [words[p] for p in part]
 
 
@@ -170,10 +173,73 @@ def _forward(
     return sums, logs
 
 
+def _sections(word: str, finder: ArcFinder, back: bool = False) -> Iterator[tuple]:
+    """Arcs of a long word by their start: first and last position, edges of each start's arcs, lengths, pieces."""
+    width = _ROW + finder.index.longest - 1
+    for first in range(0, len(word), _SECTION)[:: -1 if back else 1]:
+        last = min(len(word), first + _SECTION)
+        offsets = np.arange(first, last, _ROW)
+        rows = [word[a : a + width].ljust(width, "\0") for a in offsets]
+        arcs = [arc for arc in finder(rows, width) if arc.start < _ROW]
+        starts = np.concatenate([offsets[arc.words] + arc.start for arc in arcs])
+        lengths = np.concatenate([np.full(len(arc.words), arc.stop - arc.start) for arc in arcs])
+        numbers = np.concatenate([arc.numbers for arc in arcs])
+        inside = np.flatnonzero(starts + lengths <= len(word))
+        order = inside[np.argsort(starts[inside], kind="stable")]
+        edges = np.searchsorted(starts[order], np.arange(first, last + 1))
+        yield first, last, edges, lengths[order], numbers[order]
+
+
+def _along(word: str, finder: ArcFinder, chances: np.ndarray, trail: np.ndarray | None = None) -> np.ndarray:
+    """Log sum over all segmentations of a word of any length, for each model.
+
+    Sums are handed on from each position to where its arcs end, so only as many are held as an arc
+    is long. ``trail`` receives the first model's log sum at every position.
+    """
+    size = finder.index.longest + 1
+    ring, log = np.zeros((size, chances.shape[1])), np.zeros(chances.shape[1])
+    ring[0] = 1.0
+    for first, last, edges, lengths, numbers in _sections(word, finder):
+        weights = chances[numbers] * _PER_CHARACTER ** lengths[:, None]
+        for at in range(first, last):
+            here = ring[at % size].copy()
+            ring[at % size] = 0.0
+            if trail is not None:
+                trail[at] = math.log(here[0]) + log[0]
+            a, b = edges[at - first], edges[at - first + 1]
+            ring[(at + lengths[a:b]) % size] += here * weights[a:b]
+            if at % _LOOK == 0 and (here.min() < _LEAST or here.max() > _MOST):
+                ring /= here
+                log += np.log(here)
+    return np.log(ring[len(word) % size]) + log
+
+
+def _expected_along(word: str, times: int, finder: ArcFinder, total: np.ndarray) -> None:
+    """Add the pieces expected in a word of any length: the same sums, taken up again from its end."""
+    start, size = finder.index.start, finder.index.longest + 1
+    ahead = np.zeros(len(word))
+    whole = _along(word, finder, start[:, None], ahead)[0]
+    ring, log = np.zeros(size), 0.0
+    ring[len(word) % size] = 1.0
+    for first, last, edges, lengths, numbers in _sections(word, finder, back=True):
+        weights = start[numbers] * _PER_CHARACTER**lengths
+        for at in range(last - 1, first - 1, -1):
+            a, b = edges[at - first], edges[at - first + 1]
+            values = weights[a:b] * ring[(at + lengths[a:b]) % size]
+            total[numbers[a:b]] += times * math.exp(ahead[at] + log - whole) * values
+            here = ring[at % size] = values.sum()
+            if at % _LOOK == 0 and not _LEAST < here < _MOST:
+                ring /= here
+                log += math.log(here)
+
+
 def log_likelihoods(words: list[str], finder: ArcFinder, chances: np.ndarray) -> np.ndarray:
     """Log probability of each word under each model, summed over its segmentations."""
     out = np.zeros((len(words), chances.shape[1]))
     for length, places, group in _by_length(words):
+        if length > _AT_ONCE:
+            out[places] = _along(group[0], finder, chances) - length * math.log(_PER_CHARACTER)
+            continue
         sums, logs = _forward(finder(group, length), len(group), length, chances, finder.index.longest)
         out[places] = np.log(sums[length]) - length * math.log(_PER_CHARACTER)
         if logs is not None:
@@ -187,6 +253,9 @@ def expected_counts(words: dict[str, int], finder: ArcFinder) -> np.ndarray:
     total = np.zeros(len(start))
     names, numbers = list(words), np.array(list(words.values()), dtype=np.float64)
     for length, places, group in _by_length(names):
+        if length > _AT_ONCE:
+            _expected_along(group[0], int(numbers[places[0]]), finder, total)
+            continue
         arcs = finder(group, length)
         longest = finder.index.longest
         sums, logs = _forward(arcs, len(group), length, start[:, None], longest)
@@ -239,7 +308,7 @@ def _counter(index: PieceIndex):
                     settle()
         settle()
         for lang, n in texts.items():
-            counts = np.rint(totals.get(lang, np.zeros(index.unknown + 1)) * 1000).astype(np.int64)
+            counts = np.rint(totals.get(lang, np.zeros(index.unknown + 1)) * _PARTS).astype(np.int64)
             seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -296,7 +365,7 @@ def fit(
         if r["piece"] < 0:
             texts[at] = r["n"]
         else:
-            counts[r["piece"], at] = r["n"] / 1000
+            counts[r["piece"], at] = r["n"] / _PARTS
     counts += smoothing
     prior = np.log(texts / texts.sum()) if len(languages) else texts
     return LanguageModel(languages, index, counts / counts.sum(axis=0), prior)
@@ -346,7 +415,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     """Every input row with ``lang_pred`` and ``score``, the probability of that language.
 
     The likelihood of a text is the product over its words, that of a word the sum over all its
-    segmentations. A text that is NULL or has no letter, and any text where no language was
+    segmentations; words of any length are scored whole. A text that is NULL or has no letter, and any text where no language was
     learned, is ``und`` with score 0. Equal likelihoods go to the language first by name.
     Columns named ``lang_pred`` and ``score`` are replaced. Texts are read whole.
     """

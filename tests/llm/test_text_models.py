@@ -226,6 +226,47 @@ def test_language_of_a_text_with_a_long_run(spark):
     assert got["lang_pred"] == "en" and 0 <= got["score"] <= 1
 
 
+@pytest.mark.parametrize("section, row", [(64_000, 64), (50, 7)])
+def test_long_words_are_summed_whole(monkeypatch, section, row):
+    """Position by position, and all at once: the same sums and expectations."""
+    index = language_id.piece_index()
+    finder = language_id.ArcFinder(index)
+    draw = np.random.default_rng(5)
+    chances = draw.random((index.unknown + 1, 3)) ** 8
+    chances /= chances.sum(axis=0)
+    words = {" " + "".join(draw.choice(list("thesingaonr\U00010348漢é"), n)): k for k, n in ((1, 1), (2, 9), (3, 140), (1, 299))}
+    words |= {" " + "\U00010348" * 299: 2}
+    whole, expected = language_id.log_likelihoods(list(words), finder, chances), language_id.expected_counts(words, finder)
+    monkeypatch.setattr(language_id, "_AT_ONCE", 0)
+    monkeypatch.setattr(language_id, "_SECTION", section)
+    monkeypatch.setattr(language_id, "_ROW", row)
+    assert np.allclose(language_id.log_likelihoods(list(words), finder, chances), whole, rtol=1e-9)
+    assert np.allclose(language_id.expected_counts(words, finder), expected, rtol=1e-7, atol=1e-9)
+
+
+def test_a_very_long_word_ends_soon():
+    index = language_id.piece_index()
+    finder = language_id.ArcFinder(index)
+    start = time.time()
+    word = " " + "thequickbrownfox漢字" * 12_000
+    assert np.isfinite(language_id.log_likelihoods([word], finder, index.start[:, None])).all()
+    assert language_id.expected_counts({word: 1}, finder).sum() > 12_000
+    assert time.time() - start < 60
+
+
+def test_letters_and_marks():
+    assert language_id.words_in("½") == language_id.words_in("²Ⅷ") == language_id.words_in("12_!") == []
+    assert language_id.words_in("हिन्दी,x1y") == [" हिन्दी", " x", " y"]
+    assert language_id.words_in("a" * 5000) == [" " + "a" * 5000]
+
+
+def test_a_text_of_signs_has_no_language(spark):
+    docs = documents(spark, [(1, "der hund", "de", "a"), (2, "½ ² Ⅷ 5", None, "a"), (3, "ª", None, "a")])
+    model = language_id.fit(docs, folds=1)
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, model).collect()}
+    assert got == {1: "de", 2: "und", 3: "de"}
+
+
 @pytest.mark.parametrize(
     "text",
     [
