@@ -8,12 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loanseason.llm.common import without, word_count
+from loanseason.llm.common import word_count
 from loanseason.session import stored
 
 #: Hex digits of the shuffle key that place a document in a slice.
 _DIGITS = 10
+#: Copies of a row that are written out together.
+_AT_ONCE = 1000
 
 
 def shuffle_key(id_col: str, seed: str) -> Column:
@@ -71,9 +74,12 @@ def mix(
     weights: Sequence[int] = (5, 2, 1),
     repeats: int = 3,
     seed: str = "mix",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One narrow row per document: ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
+    Columns named in ``carry``, narrow ones, come along as they are.
+
     Every source serves its documents in a hashed order, up to ``repeats`` times over. A copy's
     virtual finish time is the number of tokens its source has served with it, divided by the
     source's target. All copies in order of that time are taken until the total is reached; the
@@ -90,7 +96,8 @@ def mix(
     row by row. Equal rows may change places, which leaves the set of results as it is.
     """
     base = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        *[F.col(c) for c in carry],
     ).withColumn("key", shuffle_key("doc_id", seed))
     sized, seen = stored(base, "mix-sizes")
     slices = max(1, math.isqrt(seen["rows"]))
@@ -113,7 +120,7 @@ def mix(
     served, _ = stored(
         sized.join(starts, same).select(
             "doc_id", "source", "rank", "size", "key", "source_size", "target", "total",
-            (F.col("start") + F.sum("size").over(within)).alias("reach"),
+            (F.col("start") + F.sum("size").over(within)).alias("reach"), *carry,
         ),
         "mix-served",
     )
@@ -133,6 +140,7 @@ def mix(
         "doc_id", "source", "size", "source_size", "target",
         number.cast("int").alias("copies"),
         (number * F.col("size")).cast("long").alias("taken"),
+        *carry,
     )
 
 
@@ -183,14 +191,37 @@ def _end_of_mix(copies: DataFrame, ranges: int) -> list | None:
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The input's columns, each document as often as the mix takes it.
+    """The input's columns, each row as often as the mix takes it.
 
-    Rows that repeat an id share the largest number of copies given to one of them.
+    Rows find their number of copies by a 128-bit hash of all their columns but maps, never by their
+    id, so rows that share an id and rows without one get their own. Rows that are equal in all
+    columns are one another's stand-ins: each is taken as often as the least of them, and one stands
+    for what the others are granted beyond. Input columns may bear any name.
     """
-    counts = mix(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("__copies")).filter("__copies > 0")
-    id_col = options.get("id_col", "doc_id")
-    clean = without(docs, "__copies")
-    joined = clean.join(
-        counts.withColumnRenamed("doc_id", "__id"), clean[id_col].eqNullSafe(F.col("__id"))
-    ).drop("__id")
-    return joined.withColumn("__copies", F.explode(F.sequence(F.lit(1), F.col("__copies")))).drop("__copies")
+    names = docs.columns
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    marks = {"__row1": F.xxhash64(*hashed), "__row2": F.xxhash64(F.lit("again"), *hashed)}
+    keyed = docs.select(*[v.alias(c) for c, v in marks.items()], row.alias("__row"))
+    text, source, id_col = (options.pop(k, d) for k, d in (("text_col", "text"), ("source_col", "source"), ("id_col", "doc_id")))
+    narrow = keyed.select(
+        F.col(f"__row.`{id_col}`").alias("doc_id"), F.col(f"__row.`{text}`").alias("text"), F.col(f"__row.`{source}`").alias("source"), *marks
+    )
+    counts, seen = stored(
+        mix(narrow, carry=list(marks), **options)
+        .groupBy(*marks)
+        .agg(F.min("copies").alias("__each"), (F.sum("copies") - F.min("copies") * F.count("*")).alias("__beyond"))
+        .filter("__each > 0 OR __beyond > 0"),
+        "mix-copies",
+        beyond=F.coalesce(F.sum("__beyond"), F.lit(0)),
+    )
+    every = keyed.join(counts.filter("__each > 0"), [*marks]).select("__row", F.explode(F.sequence(F.lit(1), "__each")))
+    if not seen["beyond"]:
+        return every.select("__row.*")
+    some = keyed.join(counts.filter("__beyond > 0"), [*marks]).groupBy(*marks).agg(
+        F.first("__row").alias("__row"), F.first("__beyond").alias("__beyond")
+    )
+    parts = some.select("__row", "__beyond", F.explode(F.sequence(F.lit(0), F.floor((F.col("__beyond") - 1) / _AT_ONCE))).alias("__part"))
+    rest = F.least(F.lit(_AT_ONCE), F.col("__beyond") - F.col("__part") * _AT_ONCE)
+    beyond = parts.select("__row", F.explode(F.sequence(F.lit(1).cast("long"), rest)))
+    return every.select("__row.*").union(beyond.select("__row.*"))

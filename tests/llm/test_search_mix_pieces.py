@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanseason.llm import cover_tree, licences, mixing, pieces, queries
+from loanseason.llm.common import word_count
 
 from .helpers import documents, odd_rows
 
@@ -91,6 +92,22 @@ def test_mix_of_odd_rows(spark):
     assert {r["taken"] for r in mixing.mix(docs.filter("doc_id in (2, 3, 4)")).collect()} == {0}
 
 
+@pytest.mark.parametrize("at_once", [1000, 2])
+def test_every_row_gets_its_own_copies(spark, monkeypatch, at_once):
+    """Rows that share an id, have none, or are equal: rows and words of the corpus are those of the mix."""
+    monkeypatch.setattr(mixing, "_AT_ONCE", at_once)
+    draw = random.Random(5)
+    rows = [(None if i % 3 else i % 7, "w " * draw.randrange(1, 9), "en", "ab"[i % 2]) for i in range(80)] + [(77, "same text", "en", "c")] * 40
+    rows += [(500 + i, "x " * 9, "en", "b") for i in range(400)]
+    docs = documents(spark, rows).withColumnsRenamed({"n_chars": "__id"}).withColumn("copies", F.lit("mine"))
+    granted = mixing.mix(docs).groupBy("source").agg(F.sum("copies").alias("n"), F.sum("taken").alias("words")).collect()
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns
+    found = got.groupBy("source").agg(F.count("*").alias("n"), F.sum(word_count(F.col("text"))).alias("words")).collect()
+    assert {tuple(r) for r in found} == {tuple(r) for r in granted if r["n"]}
+    assert mixing.mixed(docs.limit(0)).count() == 0
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.load_vocabulary()
