@@ -34,8 +34,8 @@ _OTHER, _EDGE, _CLASSES = 26, 27, 28
 #: Log costs of the channel: a sign for a letter, a sign that is only noise, a sign meant as such,
 #: a run shortened, a space kept between single letters.
 _SWAP, _NOISE, _LITERAL, _SHORTEN, _SPACE = -1.0, -1.5, -2.0, -0.5, -1.5
-_SPACED = re.compile(r"(?<!\S)(?:[^\s.,;:]\s){2,}[^\s.,;:](?!\S)")
-_TRIPLE = re.compile(r"(.)\1\1")
+_SPACED = re.compile(r"(?<!\S)(?:[^\s.,;:]\s+){2,}[^\s.,;:](?!\S)")
+_REPEATED = re.compile(r"(.)\1")
 _PREFIXES = (4, 5, 6, 7)
 _LONGEST_WORD = 24
 _REMEMBERED = 200_000
@@ -85,11 +85,13 @@ def _lattice(token: str) -> list[list[tuple[str, float]]]:
             run += 1
         length = run - at
         if sign.isalpha():
-            if length >= 3:
-                steps.append([(sign, _SHORTEN), (sign * 2, _SHORTEN)])
+            if length == 1:
+                steps.append([(sign, 0.0)])
             else:
-                steps.extend([[(sign, 0.0)]] * length)
+                steps.append([(sign, _SHORTEN), (sign * 2, _SHORTEN if length > 2 else 0.0)])
         elif sign.isspace():
+            while run < len(token) and token[run].isspace():
+                run += 1
             steps.append([("", 0.0), (" ", _SPACE)])
         else:
             options = [("", _NOISE), (" ", _LITERAL)]
@@ -154,7 +156,7 @@ class Restorer:
 
     def _restored(self, token: str) -> tuple[str, ...]:
         bare = token.strip(".,;:?\"'()[]{}<>-_/\\")
-        if bare.isalpha() and not _TRIPLE.search(bare):
+        if bare.isalpha() and not _REPEATED.search(bare):
             return (bare,)
         bare = token.strip(".,;:?\"'[]{}<>-_/\\")
         if not any(sign.isalpha() for sign in bare):

@@ -56,6 +56,7 @@ def _disguised(word, k):
     return [
         word, word.upper(), word.replace("o", "0").replace("i", "1"), word.replace("o", "000"),
         " ".join(word), ".".join(word), word.replace("s", "$").replace("a", "@"), word[0] * 4 + word[1:],
+        "  ".join(word), "".join(2 * sign for sign in word), word[0] + 2 * word[1] + word[2:],
     ][k]
 
 
@@ -75,7 +76,7 @@ def toxic_tables(spark):
             text[30] = draw.choice(bad)
         rows.append((i, " ".join(text), "en", "a"))
         labels.append((i, int(toxic)))
-    extra = [(5000 + 10 * b + k, f"river stone {_disguised(word, k)} garden", "en", "a") for b, word in enumerate(bad) for k in range(8)]
+    extra = [(5000 + 10 * b + k, f"river stone {_disguised(word, k)} garden", "en", "a") for b, word in enumerate(bad) for k in range(11)]
     return documents(spark, rows + extra), spark.createDataFrame(labels, "doc_id long, toxic int")
 
 
@@ -86,12 +87,53 @@ def test_toxic_words_in_disguise(spark, toxic_tables):
     held = [i for i in range(1500) if fold_number(i, 5) == 0]
     assert np.mean([out[i]["predicted"] == (i % 5 == 1) for i in held]) > 0.98
     clean = out[0]["score"]
-    assert all(out[5000 + 10 * b + k]["score"] > clean for b in range(3) for k in range(8))
+    assert all(out[5000 + 10 * b + k]["score"] > clean for b in range(3) for k in range(11))
     kept = toxicity.reject_toxic(docs, labels)
     assert kept.columns == docs.columns
     assert all(r["doc_id"] % 5 != 1 or r["doc_id"] >= 1500 for r in kept.collect())
 
 
+@pytest.mark.parametrize("token", ["st00p", "f1sh", "sto*e", "  t h", "aabb", "g@@a", "i  d", "1!l"])
+def test_restored_writing_is_the_likeliest_of_all(token):
+    """Viterbi against every writing of the token, each scored on its own."""
+    model = np.log(np.random.default_rng(7).dirichlet(np.ones(28), (28, 28)))
+
+    def kind(sign):
+        return ord(sign) - 97 if "a" <= sign <= "z" else 26 if sign.isalpha() else 27
+
+    def chance(written):
+        kinds = [27, 27, *map(kind, written), 27]
+        return sum(model[a][b][c] for a, b, c in zip(kinds, kinds[1:], kinds[2:]))
+
+    writings = [("", 0.0)]
+    for options in toxicity._lattice(token):
+        writings = [(w + more, cost + c) for w, cost in writings for more, c in options]
+    best = max(cost + chance(w) for w, cost in writings)
+    got = toxicity.restore(token, model.tolist())
+    assert max(cost for w, cost in writings if w == got) + chance(got) == pytest.approx(best)
+
+
+def test_restoring_on_the_given_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    restorer = toxicity.Restorer(toxicity.letter_model(docs).tolist())
+    plain = {w for r in docs.select("text").limit(300).collect() for w in (r["text"] or "").lower().split() if w.isalpha()}
+    assert all(restorer.words(word) == {word} for word in plain if all(a != b for a, b in zip(word, word[1:])))
+    # A doubled letter may be shortened, in a word that is written so as well; nothing else changes.
+    single = lambda word: "".join(a for a, b in zip(word, word[1:] + " ") if a != b)
+    assert all(len(found) == 1 and single(*found) == single(word) for word in plain for found in [restorer.words(word)])
+    word = max((w for w in plain if w.isascii() and len(set(w)) == len(w)), key=lambda w: (len(w), w))
+    assert word in restorer.words("  ".join(word)) and word in restorer.words(" \t ".join(word))
+
+
+def test_given_labels_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rated = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels.select("doc_id", "toxic"), "doc_id")
+    held = [r for r in rated.collect() if fold_number(r["doc_id"], 5) == 0]
+    caught = sum(r["predicted"] for r in held if r["toxic"]) / max(1, sum(r["toxic"] for r in held))
+    alarms = sum(r["predicted"] for r in held if not r["toxic"]) / max(1, sum(1 - r["toxic"] for r in held))
+    assert caught > 0.8 and alarms < 0.01
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = documents(spark, odd_rows())
     labels = spark.createDataFrame([(1, 1), (1, 0), (8, 0), (None, 1), (9, None)], "doc_id long, toxic int")
