@@ -4,6 +4,10 @@ The best segmentation is the path of greatest total score. Chunk boundaries have
 how many characters the piece that crosses them reaches into the next chunk. A chunk is a matrix
 between the states of its two ends, matrices multiply in the max-plus semiring in any grouping,
 and once the states at all boundaries are known every chunk is traced back on its own.
+
+Scores are whole numbers, so sums are exact in any grouping. Of paths with equal totals the one
+wins whose last piece is longer, then the one before it, and so on. A matrix carries that order
+along, so the choice does not depend on where chunks end.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ from loanseason.session import stored
 
 MODEL_PATH = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 _NONE = -math.inf
+#: Scores are whole multiples of 1 / _UNIT: sums stay below 2**53, hence exact, for any text that fits a row.
+_UNIT = 2**18
 _REMEMBERED = 300_000
 #: Characters of text, or ids, that are worked on at a time.
 _AT_ONCE = 4_000_000
@@ -50,8 +56,8 @@ def load_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
     """Read a public model's vocabulary on the driver.
 
     Its scores are merge ranks, which do not add up along a text. The score of a piece is the
-    logarithm of a frequency that falls with its rank (Zipf). A character that is no piece
-    scores ten below the rarest and is written as its bytes.
+    logarithm of a frequency that falls with its rank (Zipf), in whole steps of 1 / _UNIT. A
+    character that is no piece scores ten below the rarest and is written as its bytes.
     """
     import sentencepiece
 
@@ -66,10 +72,10 @@ def load_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
             written.append(b"")
         else:
             key = piece.replace("▁", " ")
-            ids[key], scores[key] = i, -math.log(i + 1.0)
+            ids[key], scores[key] = i, float(-round(math.log(i + 1.0) * _UNIT))
             written.append(key.encode())
     return Vocabulary(
-        ids, scores, tuple(byte_ids), min(scores.values()) - 10.0, max(map(len, ids)), tuple(written)
+        ids, scores, tuple(byte_ids), min(scores.values()) - 10.0 * _UNIT, max(map(len, ids)), tuple(written)
     )
 
 
@@ -175,9 +181,18 @@ def _clean_cuts(text: str, length: int) -> tuple[int, int] | None:
     return None if first is None else (first, last)
 
 
-def transfer_matrix(
-    text: str, length: int, final: bool, vocabulary: Vocabulary, middle: bool = False
-) -> np.ndarray:
+@dataclass(frozen=True)
+class Transfer:
+    """Best scores from entry states (rows) to exit states (columns), and how entries tie.
+
+    Of two entries with the same total at an exit, the one of smaller ``place`` in that column wins.
+    """
+
+    score: np.ndarray
+    place: np.ndarray
+
+
+def transfer_matrix(text: str, length: int, final: bool, vocabulary: Vocabulary, middle: bool = False) -> Transfer:
     """Best score from each entry state to each exit state of the chunk text[:length].
 
     What follows in ``text`` is the beginning of the next chunk. State k: the first k characters
@@ -191,63 +206,99 @@ def transfer_matrix(
     if cuts is None:
         return _sweep(text, length, final, vocabulary, states)
     first, last = cuts
-    head = np.full(states, _NONE)
-    for entry in range(min(states, first + 1)):
-        head[entry] = best_path(text, entry, first, vocabulary)[0]
-    tail = _sweep(text[last:], length - last, final, vocabulary, 1)[0]
+    head = _sweep(text[:first], first, True, vocabulary, states)
+    tail = _sweep(text[last:], length - last, final, vocabulary, 1)
     between = 0.0
     if middle:
         segmenter = Segmenter(vocabulary)
         between = sum(segmenter.path(segment)[0] for segment in _SEGMENT.findall(text[first:last]))
-    return head[:, None] + between + tail[None, :]
+    # All paths meet where no piece crosses, so entries tie in the same order at every exit.
+    return Transfer(
+        head.score[:, :1] + between + tail.score[:1], np.repeat(head.place[:, :1], states, axis=1)
+    )
 
 
-def _sweep(text: str, length: int, final: bool, vocabulary: Vocabulary, entries: int) -> np.ndarray:
-    """The matrix by dynamic programming over all positions, for the first ``entries`` entry states."""
+def _order(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys in each column."""
+    return np.argsort(np.argsort(keys, axis=0, kind="stable"), axis=0, kind="stable")
+
+
+def _sweep(text: str, length: int, final: bool, vocabulary: Vocabulary, entries: int) -> Transfer:
+    """The matrix by dynamic programming over all positions, for the first ``entries`` entry states.
+
+    Per position and entry: best score, start of the last piece, and the place of the entry among
+    all that end here. A path that enters at a position has its last piece in the chunk before,
+    which is longer than any piece of this chunk that ends there; its start counts as -1.
+    """
     states, scores = vocabulary.longest, vocabulary.scores
     limit = length if final else min(len(text), length + states - 1)
     best = np.full((limit + 1, entries), _NONE)
+    origin = np.full((limit + 1, entries), -1, dtype=np.int64)
+    place = np.zeros((limit + 1, entries), dtype=np.int64)
+    each = np.arange(entries)
     for entry in range(min(entries, length + 1)):
         best[entry, entry] = 0.0
+
+    def arrive(start: int, stop: int, totals: np.ndarray) -> None:
+        better = totals > best[stop]
+        best[stop][better] = totals[better]
+        origin[stop][better] = start
+
+    def settle(at: int) -> None:
+        if entries > 1:
+            came = origin[at]
+            place[at] = _order(came * entries + np.where(came >= 0, place[came, each], 0))
+
     for start in range(length):
+        settle(start)
         base = best[start]
         for stop in range(start + 1, min(limit, start + states) + 1):
             score = scores.get(text[start:stop])
             if score is not None:
-                np.maximum(best[stop], base + score, out=best[stop])
+                arrive(start, stop, base + score)
         if text[start] not in scores:
-            np.maximum(best[start + 1], base + vocabulary.unknown, out=best[start + 1])
-    matrix = np.full((entries, states), _NONE)
+            arrive(start, start + 1, base + vocabulary.unknown)
+    matrix = Transfer(np.full((entries, states), _NONE), np.zeros((entries, states), dtype=np.int64))
     for state in range(min(states, limit - length + 1)):
-        matrix[:, state] = best[length + state]
+        settle(length + state)
+        matrix.score[:, state], matrix.place[:, state] = best[length + state], place[length + state]
     return matrix
 
 
-def max_plus(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left[:, :, None] + right[None, :, :]).max(axis=1)
+def max_plus(left: Transfer, right: Transfer) -> Transfer:
+    """Product in the max-plus semiring; of equal sums the path whose right part comes first."""
+    sums = left.score[:, :, None] + right.score[None, :, :]
+    score = sums.max(axis=1)
+    over = len(right.score)
+    via = np.where(sums == score[:, None, :], right.place[None, :, :], over).argmin(axis=1)
+    rows, columns = np.indices(score.shape)
+    return Transfer(score, _order(right.place[via, columns] * len(left.score) + left.place[rows, via]))
 
 
-def boundary_states(matrices: list[np.ndarray], entry: int, leave: int) -> list[int]:
+def boundary_states(matrices: list[Transfer], entry: int, leave: int) -> list[int]:
     """States at all boundaries of the best path from ``entry`` to ``leave``."""
-    reach = [np.full(len(matrices[0]), _NONE)]
+    reach = [np.full(len(matrices[0].score), _NONE)]
     reach[0][entry] = 0.0
     for matrix in matrices:
-        reach.append((reach[-1][:, None] + matrix).max(axis=0))
+        reach.append((reach[-1][:, None] + matrix.score).max(axis=0))
     states = [leave]
     for matrix, before in zip(reversed(matrices), reversed(reach[:-1])):
-        states.append(int(np.argmax(before + matrix[:, states[-1]])))
+        totals = before + matrix.score[:, states[-1]]
+        equal = np.flatnonzero(totals == totals.max())
+        states.append(int(equal[np.argmin(matrix.place[equal, states[-1]])]))
     states.reverse()
     return states
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return values.astype("<f8").tobytes()
+def _pack(matrix: Transfer) -> bytes:
+    return matrix.score.astype("<f8").tobytes() + matrix.place.astype("<u2").tobytes()
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    values = np.frombuffer(raw, dtype="<f8")
-    side = math.isqrt(len(values))
-    return values.reshape(side, side)
+def _unpack(raw: bytes) -> Transfer:
+    side = math.isqrt(len(raw) // 10)
+    score = np.frombuffer(raw, "<f8", side * side).reshape(side, side)
+    place = np.frombuffer(raw, "<u2", offset=side * side * 8).astype(np.int64).reshape(side, side)
+    return Transfer(score, place)
 
 
 def _chunked(size: int, longest: int):
@@ -361,8 +412,9 @@ def encode(
     solved once and remembered.
 
     A space is put before the text, as the model's makers do. NULL texts have NULL ids, empty
-    ones no ids. Of several segmentations with the same total one is taken; a chunk's end inside
-    such a place may take another than a text in one chunk. Equal texts share their chunks. An input column named ``ids`` is replaced.
+    ones no ids. Of several segmentations with the same total the one is taken whose last pieces
+    are longer, wherever chunks end: ids are the same at any ``chunk_chars``. Equal texts share
+    their chunks. An input column named ``ids`` is replaced.
     """
     vocabulary = load_vocabulary(path)
     rows = without(docs, "ids", "__key", "__ids")
