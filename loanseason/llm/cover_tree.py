@@ -1,10 +1,12 @@
 """Exact top-k search by inner product, with cover trees on queries and on data.
 
 Vectors are integers, so scores are exact. For a query node with centre q and radius r and a data
-node with centre p and radius s no pair below scores more than q.p + |q| s + |p| r + r s. A pair of
-nodes is left out when that is below the worst k-th score of the queries under the query node.
-The same bound works twice: between cells, which are Spark's share, and inside a task between the
-nodes of two trees.
+node with centre p and radius s no pair below scores more than q.p + |q| s + |p| r + r s. Nodes also
+know how long their vectors are and how far these turn from the centre, which bounds a score by the
+lengths and the least angle between two cones. A pair of nodes is left out when the lower bound of
+the two is below the worst k-th score of the queries under the query node. The first bound works
+between cells as well, which are Spark's share; both work inside a task between the nodes of two
+trees.
 """
 
 from __future__ import annotations
@@ -22,42 +24,57 @@ from pyspark.sql import functions as F
 
 from loanseason.session import stored
 
-_LEAF = 256
-#: Centres in a row that cover less than this many rows show that there is nothing left to divide.
-_SPARSE, _PATIENCE = 16, 8
+_LEAF = 16
+#: Where this many centres in a row cover fewer rows than this, nothing is left to divide by distance;
+#: what is left becomes leaves of rows of like length.
+_SPARSE, _PATIENCE, _SCATTERED = 4, 8, 64
+#: A cell is cut at up to this many distances from its centre.
+_RINGS = 64
+#: Slack of bounds, relative and in radians, far above the rounding of sums and angles.
+_SLACK = 1e-6
 
 
 @dataclass
 class Node:
-    """A ball around a point of the data with everything below it."""
+    """A ball around a point of the data with everything below it, and the cone it fills.
+
+    ``short`` and ``long`` are the least and greatest length of its vectors, ``turn`` the greatest
+    angle between one of them and the centre.
+    """
 
     centre: np.ndarray
     norm: float
     radius: float
+    short: float
+    long: float
+    turn: float
     rows: np.ndarray
     children: list[Node]
 
 
-def cover_tree(points: np.ndarray) -> Node:
+def cover_tree(points: np.ndarray, leaf: int = _LEAF, scattered: int = _SCATTERED) -> Node:
     """Batch construction: every level halves the covering radius, centres of a level are apart by more.
 
     Works level by level on whole sets of rows. Equal points end up in one node of radius 0. Where
     points are so far apart that centres cover next to nothing but themselves, as in many
-    dimensions, what is left becomes leaves of _LEAF rows, each with its own radius.
+    dimensions, what is left is sorted by length and becomes leaves of ``scattered`` rows.
     """
+    lengths = np.sqrt((points**2).sum(axis=1))
 
-    def leaf(rows: np.ndarray) -> Node:
-        centre = points[rows[0]]
-        radius = float(np.sqrt(((points[rows] - centre) ** 2).sum(axis=1)).max())
-        return Node(centre, float(np.sqrt((centre**2).sum())), radius, rows, [])
+    def node(rows: np.ndarray, centre: int) -> tuple[Node, np.ndarray]:
+        far = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
+        norm, turn = float(lengths[centre]), math.pi
+        least = float(lengths[rows].min())
+        if norm > 0 and least > 0:
+            cosine = (points[rows] @ points[centre]) / (lengths[rows] * norm)
+            turn = float(np.arccos(np.clip(cosine.min(), -1.0, 1.0)))
+        return Node(points[centre], norm, float(far.max()), least, float(lengths[rows].max()), turn, rows, []), far
 
     def build(rows: np.ndarray, centre: int, cover: float) -> Node:
-        far = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
-        radius = float(far.max())
-        node = Node(points[centre], float(np.sqrt((points[centre] ** 2).sum())), radius, rows, [])
-        if len(rows) <= _LEAF or radius == 0:
-            return node
-        scale = min(cover, radius) / 2
+        made, far = node(rows, centre)
+        if len(rows) <= leaf or made.radius == 0:
+            return made
+        scale = min(cover, made.radius) / 2
         left, distance, sparse, thin = rows, far, 0, []
         while len(left):
             if sparse == _PATIENCE:
@@ -71,17 +88,31 @@ def cover_tree(points: np.ndarray) -> Node:
                 thin.append(left[near])
                 sparse += 1
             else:
-                node.children.append(build(left[near], pick, scale))
+                made.children.append(build(left[near], pick, scale))
                 sparse = 0
             left, distance = left[~near], distance[~near]
         if thin:
-            scattered = np.concatenate(thin)
-            node.children += [leaf(scattered[k : k + _LEAF]) for k in range(0, len(scattered), _LEAF)]
-        return node
+            alone = np.concatenate(thin)
+            alone = alone[np.argsort(-lengths[alone], kind="stable")]
+            for k in range(0, len(alone), scattered):
+                part = alone[k : k + scattered]
+                made.children.append(node(part, part[0])[0])
+        return made
 
     return build(np.arange(len(points)), 0, np.inf)
 
 
+def bound(q: Node, p: Node) -> float:
+    """No vector under one node scores more than this with one under the other."""
+    product = float(q.centre @ p.centre)
+    top = product + q.norm * p.radius + p.norm * q.radius + q.radius * p.radius
+    if q.norm > 0 and p.norm > 0:
+        apart = math.acos(max(-1.0, min(1.0, product / (q.norm * p.norm))))
+        cosine = math.cos(max(0.0, apart - q.turn - p.turn - _SLACK))
+        top = min(top, cosine * (q.long * p.long if cosine >= 0 else q.short * p.short))
+    return top + abs(top) * _SLACK + _SLACK
+
+
 class _Best:
     """The k best (score, smaller id) of each query so far, and the floor it began with."""
 
@@ -106,31 +137,37 @@ class _Best:
 
 
 def dual_search(
-    queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    floors: np.ndarray,
+    data: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    scored: list[int] | None = None,
 ) -> Iterator[tuple[int, int, int]]:
     """Rows (query id, data id, score) that hold each query's k best of this data above its floor.
 
-    Node pairs are visited best bound first. Scores equal to a floor count, for ties go by id.
+    Node pairs are visited best bound first. The tree of queries goes down to single ones, as those
+    far from each other share no bound; close ones meet a leaf of data together. Scores equal to a
+    floor count, for ties go by id. ``scored``, where given, takes the number of pairs scored at each pair of leaves.
     """
     best = _Best(len(queries), k, floors)
     as_float, as_query = data.astype(np.float64), queries.astype(np.float64)
-    trees = (cover_tree(as_query), cover_tree(as_float))
-    slack = 1e-6
-
-    def bound(q: Node, p: Node) -> float:
-        top = float(q.centre @ p.centre) + q.norm * p.radius + p.norm * q.radius + q.radius * p.radius
-        return top * (1 + slack * np.sign(top)) + slack
-
+    trees = (cover_tree(as_query, leaf=1, scattered=1), cover_tree(as_float))
     serial = 0
     open_pairs = [(-bound(*trees), serial, *trees)]
     while open_pairs:
         negative, _, q, p = heapq.heappop(open_pairs)
         if -negative < best.floors[q.rows].min():
             continue
-        if not q.children and not p.children:
+        together = not q.children or (len(q.rows) <= _LEAF and q.radius <= p.radius)
+        if together and not p.children:
             scores = queries[q.rows] @ data[p.rows].T
-            for row, found in zip(q.rows, scores):
-                best.offer(row, found, ids[p.rows], query_ids[row])
+            if scored is not None:
+                scored.append(scores.size)
+            for at in np.flatnonzero(scores.max(axis=1) >= best.floors[q.rows]):
+                row = q.rows[at]
+                best.offer(row, scores[at], ids[p.rows], query_ids[row])
             continue
         split_query = q.children and (not p.children or q.radius > p.radius)
         pairs = [(c, p) for c in q.children] if split_query else [(q, c) for c in p.children]
@@ -211,13 +248,19 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def smallest_of_equal(rows: DataFrame, most: int) -> DataFrame:
+    """Distinct rows, of equal vectors those with the ``most`` smallest ids; each task sends no more than that."""
+    place = F.row_number().over(W.partitionBy("vector").orderBy("id"))
+    return rows.distinct().withColumn("place", place).filter(F.col("place") <= most).drop("place")
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
     k: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    cells: int = 64,
+    cells: int = 1024,
     block: int = 4096,
     query_block: int = 2048,
     seed: int = 7,
@@ -225,11 +268,12 @@ def top_k(
     """The k best other rows of every query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
     Rows that repeat an id and its vector count once. Of equal vectors only the k + 1 smallest
-    ids can ever be among the best, so the others go before anything else; a vector that a third of all rows share becomes a handful of rows per
-    task. Up to ``cells`` vectors, drawn by the hash of their ids, are the upper level of both
-    trees, as many of them as the rows fill blocks; every row goes to the nearest. Cells are cut
-    into blocks of about ``block`` rows, or ``query_block`` queries, and each pair of blocks that
-    can matter is searched in a task of its own.
+    ids can ever be among the best, so the others go before anything else; a vector that a third
+    of all rows share becomes a handful of rows per task before they meet. Up to ``cells``
+    vectors, drawn by the hash of their ids, are the upper level of both trees, as many of them as
+    the rows fill blocks; every row goes to the nearest. Cells are cut by distance from their
+    centre into blocks of about ``block`` rows, or ``query_block`` queries, so that inner blocks
+    have smaller radii, and each pair of blocks that can matter is searched in a task of its own.
 
     First every block of queries meets the one data block with the greatest bound. Its k-th
     scores then rule out pairs of blocks, and the search floor of what is left is set by them.
@@ -248,14 +292,7 @@ def top_k(
         )
         .withColumn("dim", F.size("vector"))
     )
-    alike = W.partitionBy("vector").orderBy("id")
-    data, seen = stored(
-        good.withColumn("place", F.dense_rank().over(alike))
-        .withColumn("repeated", F.coalesce(F.lag("id").over(alike) == F.col("id"), F.lit(False)))
-        .filter((F.col("place") <= k + 1) & ~F.col("repeated"))
-        .select("id", "vector", "dim"),
-        "cover-data",
-    )
+    data, seen = stored(smallest_of_equal(good.select("id", "vector", "dim"), k + 1), "cover-data")
     drawn = (
         data.withColumn("draw", F.row_number().over(W.partitionBy("dim").orderBy(F.xxhash64("id", F.lit(seed)), "id")))
         .filter(F.col("draw") <= cells)
@@ -275,11 +312,19 @@ def top_k(
             ),
             f"cover-{name}-cells",
         )
-        sizes = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"))
-        cut = placed.join(sizes, ["dim", "cell"]).withColumn(
-            "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / most))
+        marks = [ring / _RINGS for ring in range(1, _RINGS)]
+        edges = placed.groupBy("dim", "cell").agg(
+            F.count("*").alias("n"), F.percentile_approx("far", marks).alias("edges")
+        )
+        parts = F.least(F.ceil(F.col("n") / most), F.lit(_RINGS))
+        inside = F.size(F.filter("edges", lambda edge: edge < F.col("far")))
+        ringed = placed.join(edges, ["dim", "cell"]).withColumn("ring", F.floor(inside * parts / _RINGS)).drop("edges", "n")
+        # Rows at equal distances share a ring; where that makes it large, the hash of their ids cuts it.
+        sizes = ringed.groupBy("dim", "cell", "ring").agg(F.count("*").alias("n"))
+        cut = ringed.join(sizes, ["dim", "cell", "ring"]).withColumn(
+            "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / (2 * most)))
         )
-        cut = cut.withColumn("block", F.concat_ws("-", "dim", "cell", "part")).select(
+        cut = cut.withColumn("block", F.concat_ws("-", "dim", "cell", "ring", "part")).select(
             "id", "vector", "dim", "cell", "far", "block"
         )
         cut, _ = stored(cut, f"cover-{name}")

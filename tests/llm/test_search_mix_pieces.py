@@ -55,12 +55,55 @@ def test_cover_tree_covers():
         assert (np.sqrt(((points[node.rows] - node.centre) ** 2).sum(axis=1)) <= node.radius + 1e-9).all()
         if node.children:
             assert sorted(np.concatenate([c.rows for c in node.children])) == sorted(node.rows)
+        assert (np.sqrt((points[node.rows] ** 2).sum(axis=1)) <= node.long + 1e-9).all()
         for child in node.children:
             check(child)
 
     check(cover_tree.cover_tree(points))
 
 
+def _dual(queries, data, k=5):
+    scored = []
+    found = cover_tree.dual_search(
+        queries, np.arange(len(queries)) + 10**6, np.full(len(queries), -(2.0**62)), data, np.arange(len(data)), k, scored
+    )
+    best = {}
+    for query, number, score in found:
+        best.setdefault(query - 10**6, []).append((-score, number))
+    exact = queries @ data.T
+    for row in range(len(queries)):
+        assert sorted(best[row]) == sorted((-int(s), i) for i, s in enumerate(exact[row]))[:k]
+    return sum(scored) / exact.size
+
+
+def test_bounds_hold_for_every_pair():
+    draw = np.random.default_rng(5)
+    for spread in (0.1, 1.0, 4.0):
+        points = np.floor(256 * (draw.normal(size=(90, 1, 6)) + spread * draw.normal(size=(90, 8, 6)))).astype(np.int64)
+        nodes = [cover_tree.cover_tree(some.astype(float)) for some in points]
+        for q, some in zip(nodes[:30], points):
+            for p, others in zip(nodes[30:], points[30:]):
+                assert (some @ others.T).max() <= cover_tree.bound(q, p)
+
+
+def test_clustered_vectors_are_mostly_ruled_out():
+    draw = np.random.default_rng(6)
+    around = draw.normal(size=(40, 64))
+    data = np.floor(256 * (around[draw.integers(0, 40, 3000)] + 0.05 * draw.normal(size=(3000, 64)))).astype(np.int64)
+    assert _dual(data[::50] + 1, data) < 0.25
+    lengths = np.exp(draw.normal(size=(2000, 1)))
+    assert _dual(data[:40], np.floor(64 * lengths * draw.normal(size=(2000, 64))).astype(np.int64)) < 0.5
+    assert _dual(np.zeros((3, 4), np.int64), np.zeros((50, 4), np.int64)) <= 1
+
+
+def test_equal_vectors_are_cut_before_they_meet(spark):
+    table = spark.range(3000).selectExpr("id as vec_id", "array(1.0, 2.0) as embedding")
+    good = cover_tree.smallest_of_equal(table.selectExpr("vec_id as id", "embedding as vector"), 6)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert sorted(r["id"] for r in good.collect()) == list(range(6))
+
+
 def test_mix_meets_targets(spark):
     draw = random.Random(3)
     rows = [(i, "w " * draw.randrange(1, 40), "en", "big" if i % 3 else f"s{i % 9}") for i in range(3000)]
