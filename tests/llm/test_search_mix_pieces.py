@@ -97,7 +97,7 @@ def test_clustered_vectors_are_mostly_ruled_out():
 
 
 def test_equal_vectors_are_cut_before_they_meet(spark):
-    table = spark.range(3000).selectExpr("id as vec_id", "array(1.0, 2.0) as embedding")
+    table = spark.range(3000).selectExpr("id as vec_id", "array(1.0, if(id < 0, id, 2.0)) as embedding")
     good = cover_tree.smallest_of_equal(table.selectExpr("vec_id as id", "embedding as vector"), 6)
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
