@@ -55,7 +55,7 @@ def piece_index(path: str = MODEL_PATH) -> PieceIndex:
     """The public vocabulary without pieces of spaces alone, with frequencies that fall with the rank."""
     vocabulary = load_vocabulary(path)
     pieces = [p for p in vocabulary.ids if p.strip(" ") or p == " "]
-    weights = np.array([math.exp(vocabulary.scores[p]) for p in pieces] + [math.exp(vocabulary.unknown)])
+    weights = np.array([vocabulary.frequency(p) for p in [*pieces, None]])
     return PieceIndex({p: k for k, p in enumerate(pieces)}, weights / weights.sum(), max(map(len, pieces)))
 
 

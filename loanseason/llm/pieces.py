@@ -51,6 +51,10 @@ class Vocabulary:
     longest: int
     written: tuple[bytes, ...]
 
+    def frequency(self, piece: str | None) -> float:
+        """What the score of a piece is the logarithm of, up to a common factor; None is an unknown character."""
+        return math.exp((self.unknown if piece is None else self.scores[piece]) / _UNIT)
+
 
 def load_vocabulary(path: str = MODEL_PATH) -> Vocabulary:
     """Read a public model's vocabulary on the driver.

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loanseason.llm import language_id, pii, toxicity
+from loanseason.llm import language_id, pieces, pii, toxicity
 from loanseason.llm.common import fold_number
 
 from .helpers import documents, odd_rows
@@ -235,6 +235,14 @@ def test_gates_cover_their_patterns():
     assert met > 20
 
 
+def test_start_frequencies_fall_with_the_rank():
+    index, vocabulary = language_id.piece_index(), pieces.load_vocabulary()
+    assert (index.start > 0).all() and index.start.sum() == pytest.approx(1)
+    ranks = np.array([vocabulary.ids[p] + 1.0 for p in index.numbers])
+    assert np.allclose(index.start[:-1] * ranks, index.start[0] * ranks[0], rtol=1e-4)
+    assert index.start[-1] == pytest.approx(index.start[:-1].min() * np.exp(-10), rel=1e-4)
+
+
 def test_long_runs_of_rare_letters():
     index = language_id.piece_index()
     finder = language_id.ArcFinder(index)
