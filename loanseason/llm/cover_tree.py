@@ -11,7 +11,6 @@ trees.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +31,10 @@ _SPARSE, _PATIENCE, _SCATTERED = 4, 8, 64
 _RINGS = 64
 #: Slack of bounds, relative and in radians, far above the rounding of sums and angles.
 _SLACK = 1e-6
+#: Numbers of an array that is only needed for a moment.
+_NUMBERS_AT_ONCE = 2_000_000
+#: A search splits twice as many pairs of a query node after so many rounds, and takes never more than 2**_FASTEST.
+_STEPS, _FASTEST = 4, 40
 
 
 @dataclass
@@ -102,38 +105,118 @@ def cover_tree(points: np.ndarray, leaf: int = _LEAF, scattered: int = _SCATTERE
     return build(np.arange(len(points)), 0, np.inf)
 
 
+def _ceiling(product, q: tuple, p: tuple):
+    """No vector in one ball and cone scores more than this with one in the other, whose centres score ``product``.
+
+    A side is norm, radius, short, long and turn, each a number or one for each pair.
+    """
+    norm, radius, short, long, turn = (np.asarray(x) for x in q)
+    other_norm, other_radius, other_short, other_long, other_turn = (np.asarray(x) for x in p)
+    ball = product + norm * other_radius + other_norm * radius + radius * other_radius
+    lengths = norm * other_norm
+    apart = np.arccos(np.clip(product / np.where(lengths > 0, lengths, 1.0), -1.0, 1.0))
+    cosine = np.cos(np.maximum(0.0, apart - turn - other_turn - _SLACK))
+    cone = cosine * np.where(cosine >= 0, long * other_long, short * other_short)
+    top = np.where(lengths > 0, np.minimum(ball, cone), ball)
+    return top + np.abs(top) * _SLACK + _SLACK
+
+
+def _shape(node: Node) -> tuple[float, ...]:
+    return node.norm, node.radius, node.short, node.long, node.turn
+
+
 def bound(q: Node, p: Node) -> float:
     """No vector under one node scores more than this with one under the other."""
-    product = float(q.centre @ p.centre)
-    top = product + q.norm * p.radius + p.norm * q.radius + q.radius * p.radius
-    if q.norm > 0 and p.norm > 0:
-        apart = math.acos(max(-1.0, min(1.0, product / (q.norm * p.norm))))
-        cosine = math.cos(max(0.0, apart - q.turn - p.turn - _SLACK))
-        top = min(top, cosine * (q.long * p.long if cosine >= 0 else q.short * p.short))
-    return top + abs(top) * _SLACK + _SLACK
+    return float(_ceiling(float(q.centre @ p.centre), _shape(q), _shape(p)))
+
+
+class _Flat:
+    """A tree as arrays, a node's children side by side, and the rows of all nodes one after another."""
+
+    def __init__(self, root: Node) -> None:
+        nodes, self.child, self.levels = [root], [], [0, 1]
+        for k, node in enumerate(nodes):
+            if k == self.levels[-1]:
+                self.levels.append(len(nodes))
+            self.child.append(len(nodes))
+            nodes.extend(node.children)
+        self.child = np.array(self.child)
+        self.children = np.array([len(node.children) for node in nodes])
+        self.parent = np.r_[0, np.repeat(np.arange(len(nodes)), self.children)]
+        self.centres = np.array([node.centre for node in nodes])
+        self.shapes = np.array([_shape(node) for node in nodes]).T
+        self.radius = self.shapes[1]
+        self.sizes = np.array([len(node.rows) for node in nodes])
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.rows = np.concatenate([node.rows for node in nodes])
+
+    def lowest(self, floors: np.ndarray) -> np.ndarray:
+        """The worst floor below each node."""
+        return np.minimum.reduceat(floors[self.rows], self.first)
+
+    def above(self, best: np.ndarray) -> np.ndarray:
+        """For each node the greatest of ``best`` among those it lies below."""
+        out = np.full(len(best), -np.inf)
+        for begin, end in zip(self.levels[1:], [*self.levels[2:], len(best)]):
+            parent = self.parent[begin:end]
+            out[begin:end] = np.maximum(out[parent], best[parent])
+        return out
+
+
+def _bounds(q: _Flat, at: np.ndarray, p: _Flat, other: np.ndarray) -> np.ndarray:
+    """``bound`` of many pairs of nodes, so many at a time as bounded memory holds."""
+    out = np.empty(len(at))
+    some = max(1, _NUMBERS_AT_ONCE // max(1, q.centres.shape[1]))
+    for k in range(0, len(at), some):
+        a, b = at[k : k + some], other[k : k + some]
+        product = np.einsum("ij,ij->i", q.centres[a], p.centres[b])
+        out[k : k + some] = _ceiling(product, tuple(q.shapes[:, a]), tuple(p.shapes[:, b]))
+    return out
+
+
+def _spread(first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges of whole numbers: which range, and the number, for all of them one after another."""
+    which = np.repeat(np.arange(len(counts)), counts)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + first[which]
+
+
+def _place_in_group(groups: np.ndarray) -> np.ndarray:
+    """Place of each entry in its run of equal numbers, from 0."""
+    begins = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if len(groups) else groups
+    return np.arange(len(groups)) - np.repeat(begins, np.diff(np.r_[begins, len(groups)]))
 
 
 class _Best:
     """The k best (score, smaller id) of each query so far, and the floor it began with."""
 
-    def __init__(self, count: int, k: int, floors: np.ndarray) -> None:
-        self.k, self.floors = k, floors.astype(np.float64)
-        self.heaps: list[list[tuple[int, int]]] = [[] for _ in range(count)]
-
-    def offer(self, query: int, scores: np.ndarray, ids: np.ndarray, own: int) -> None:
-        floor, heap = self.floors[query], self.heaps[query]
-        for at in np.flatnonzero(scores >= floor):
-            if ids[at] == own:
-                continue
-            entry = (int(scores[at]), -int(ids[at]))
-            if entry in heap:
-                continue
-            if len(heap) < self.k:
-                heapq.heappush(heap, entry)
-            elif entry > heap[0]:
-                heapq.heapreplace(heap, entry)
-        if len(heap) == self.k:
-            self.floors[query] = max(floor, heap[0][0])
+    def __init__(self, query_ids: np.ndarray, k: int, floors: np.ndarray) -> None:
+        self.query_ids, self.k, self.floors = query_ids, k, floors.astype(np.float64)
+        self.rows = self.scores = self.ids = np.zeros(0, dtype=np.int64)
+
+    def offer(self, rows: list[np.ndarray], scores: list[np.ndarray], ids: list[np.ndarray]) -> None:
+        """Take what is among the best; a query's own id is not, and a score counts once for an id."""
+        row, score, number = (np.concatenate(x) for x in ([self.rows, *rows], [self.scores, *scores], [self.ids, *ids]))
+        other = number != self.query_ids[row]
+        row, score, number = row[other], score[other], number[other]
+        order = np.lexsort((number, ~score, row))
+        row, score, number = row[order], score[order], number[order]
+        same = (row[1:] == row[:-1]) & (score[1:] == score[:-1]) & (number[1:] == number[:-1])
+        fresh = np.r_[True, ~same][: len(row)]
+        row, score, number = row[fresh], score[fresh], number[fresh]
+        place = _place_in_group(row)
+        kept = place < self.k
+        self.rows, self.scores, self.ids = row[kept], score[kept], number[kept]
+        last = place == self.k - 1
+        self.floors[row[last]] = np.maximum(self.floors[row[last]], score[last])
+
+
+def _multiplier(queries: np.ndarray, data: np.ndarray):
+    """Exact inner products of rows; as floating-point numbers where no sum on the way leaves their whole numbers."""
+    longest = [float(np.sqrt((m.astype(np.float64) ** 2).sum(axis=1).max(initial=0.0))) for m in (queries, data)]
+    if longest[0] * longest[1] < 2.0**52:
+        as_query, as_float = queries.astype(np.float64), data.astype(np.float64)
+        return lambda a, b: (as_query[a] @ as_float[b].T).astype(np.int64)
+    return lambda a, b: queries[a] @ data[b].T
 
 
 def dual_search(
@@ -147,38 +230,75 @@ def dual_search(
 ) -> Iterator[tuple[int, int, int]]:
     """Rows (query id, data id, score) that hold each query's k best of this data above its floor.
 
-    Node pairs are visited best bound first. The tree of queries goes down to single ones, as those
+    Works in rounds, each on arrays of pairs. A round takes every query node's pairs of best bound,
+    unless a node above has a pair of better bound, and splits or scores them; then what can no
+    longer reach the floors goes. It takes one pair at first and twice as many whenever all queries
+    below the node have been scored again; pairs to split also after every ``_STEPS`` rounds.
+    The tree of queries goes down to single ones, as those
     far from each other share no bound; close ones meet a leaf of data together. Scores equal to a
-    floor count, for ties go by id. ``scored``, where given, takes the number of pairs scored at each pair of leaves.
+    floor count, for ties go by id. ``scored``, where given, takes the number of pairs scored at each leaf of data.
     """
-    best = _Best(len(queries), k, floors)
-    as_float, as_query = data.astype(np.float64), queries.astype(np.float64)
-    trees = (cover_tree(as_query, leaf=1, scattered=1), cover_tree(as_float))
-    serial = 0
-    open_pairs = [(-bound(*trees), serial, *trees)]
-    while open_pairs:
-        negative, _, q, p = heapq.heappop(open_pairs)
-        if -negative < best.floors[q.rows].min():
-            continue
-        together = not q.children or (len(q.rows) <= _LEAF and q.radius <= p.radius)
-        if together and not p.children:
-            scores = queries[q.rows] @ data[p.rows].T
+    best = _Best(query_ids, k, floors)
+    product = _multiplier(queries, data)
+    q = _Flat(cover_tree(queries.astype(np.float64), leaf=1, scattered=1))
+    p = _Flat(cover_tree(data.astype(np.float64)))
+    at = other = np.zeros(1, dtype=np.int64)
+    top = _bounds(q, at, p, other)
+    times, rounds = np.zeros(len(queries), dtype=np.int64), 0
+    while len(at):
+        pace = np.minimum(q.lowest(times), _FASTEST)
+        haste = np.minimum(pace + rounds // _STEPS, _FASTEST)
+        rounds += 1
+        order = np.lexsort((-top, at))
+        at, other, top = at[order], other[order], top[order]
+        place = _place_in_group(at)
+        greatest = np.full(len(pace), -np.inf)
+        greatest[at[place == 0]] = top[place == 0]
+
+        together = (q.children[at] == 0) | ((q.sizes[at] <= _LEAF) & (q.radius[at] <= p.radius[other]))
+        meet = together & (p.children[other] == 0)
+        taken = (place < 2 ** np.where(meet, pace[at], haste[at])) & (top >= q.above(greatest)[at])
+        a, b, meet = at[taken], other[taken], meet[taken]
+        at, other, top = at[~taken], other[~taken], top[~taken]
+        if meet.any():
+            times[_score(q, a[meet], p, b[meet], product, ids, best, scored)] += 1
+        a, b = a[~meet], b[~meet]
+        by_query = (q.children[a] > 0) & ((p.children[b] == 0) | (q.radius[a] > p.radius[b]))
+        of_query, q_child = _spread(q.child[a[by_query]], q.children[a[by_query]])
+        of_data, p_child = _spread(p.child[b[~by_query]], p.children[b[~by_query]])
+        a, b = np.r_[q_child, a[~by_query][of_data]], np.r_[b[by_query][of_query], p_child]
+
+        at, other, top = np.r_[at, a], np.r_[other, b], np.r_[top, _bounds(q, a, p, b)]
+        open_still = top >= q.lowest(best.floors)[at]
+        at, other, top = at[open_still], other[open_still], top[open_still]
+    yield from zip(query_ids[best.rows].tolist(), best.ids.tolist(), best.scores.tolist())
+
+
+def _score(
+    q: _Flat, a: np.ndarray, p: _Flat, b: np.ndarray, product, ids: np.ndarray, best: _Best, scored: list[int] | None
+) -> np.ndarray:
+    """Score pairs of query nodes and leaves of data, all queries of a leaf at once; returns these queries."""
+    of_pair, at = _spread(q.first[a], q.sizes[a])
+    asked, leaves = q.rows[at], b[of_pair]
+    order = np.argsort(leaves, kind="stable")
+    asked, leaves = asked[order], leaves[order]
+    edges = np.r_[np.flatnonzero(np.r_[True, leaves[1:] != leaves[:-1]]), len(leaves)]
+    rows, values, numbers = [], [], []
+    for begin, end in zip(edges, edges[1:]):
+        leaf = leaves[begin]
+        of_leaf = p.rows[p.first[leaf] : p.first[leaf] + p.sizes[leaf]]
+        some = max(1, _NUMBERS_AT_ONCE // len(of_leaf))
+        for start in range(begin, end, some):
+            meeting = asked[start : min(end, start + some)]
+            scores = product(meeting, of_leaf)
             if scored is not None:
                 scored.append(scores.size)
-            for at in np.flatnonzero(scores.max(axis=1) >= best.floors[q.rows]):
-                row = q.rows[at]
-                best.offer(row, scores[at], ids[p.rows], query_ids[row])
-            continue
-        split_query = q.children and (not p.children or q.radius > p.radius)
-        pairs = [(c, p) for c in q.children] if split_query else [(q, c) for c in p.children]
-        for pair in pairs:
-            top = bound(*pair)
-            if top >= best.floors[pair[0].rows].min():
-                serial += 1
-                heapq.heappush(open_pairs, (-top, serial, *pair))
-    for row, heap in enumerate(best.heaps):
-        for score, negative_id in heap:
-            yield int(query_ids[row]), -negative_id, score
+            x, y = np.nonzero(scores >= best.floors[meeting][:, None])
+            rows.append(meeting[x])
+            values.append(scores[x, y])
+            numbers.append(ids[of_leaf[y]])
+    best.offer(rows, values, numbers)
+    return np.unique(asked)
 
 
 def integer_components(vector: Column, scale: int = 256) -> Column:
@@ -204,13 +324,19 @@ def _to_nearest(centres: dict[int, np.ndarray]):
         for batch in batches:
             cells = np.zeros(batch.num_rows, dtype=np.int64)
             far = np.zeros(batch.num_rows)
-            for k, vector in enumerate(batch.column("vector").to_pylist()):
-                point = np.array(vector, dtype=np.float64)
-                among = centres.get(len(point))
-                if among is not None and len(point):
-                    apart = ((among - point) ** 2).sum(axis=1)
-                    cells[k] = int(np.argmin(apart))
-                    far[k] = float(np.sqrt(apart[cells[k]]))
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                among = centres.get(dim)
+                if among is None or not dim:
+                    continue
+                rows, squares = np.flatnonzero(dims == dim), (among**2).sum(axis=1)
+                some = max(1, _NUMBERS_AT_ONCE // max(dim, len(among)))
+                for k in range(0, len(rows), some):
+                    part = rows[k : k + some]
+                    flat = batch.column("vector").take(pa.array(part)).flatten().to_numpy(zero_copy_only=False)
+                    vectors = flat.reshape(len(part), dim).astype(np.float64)
+                    cells[part] = np.argmin(squares - 2 * (vectors @ among.T), axis=1)
+                    far[part] = np.sqrt(((vectors - among[cells[part]]) ** 2).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cells), pa.array(far)], names=[*batch.schema.names, "cell", "far"]
             )
@@ -318,10 +444,11 @@ def top_k(
         )
         parts = F.least(F.ceil(F.col("n") / most), F.lit(_RINGS))
         inside = F.size(F.filter("edges", lambda edge: edge < F.col("far")))
-        ringed = placed.join(edges, ["dim", "cell"]).withColumn("ring", F.floor(inside * parts / _RINGS)).drop("edges", "n")
+        # What is known of cells and rings is small, so rows stay where they are.
+        ringed = placed.join(F.broadcast(edges), ["dim", "cell"]).withColumn("ring", F.floor(inside * parts / _RINGS)).drop("edges", "n")
         # Rows at equal distances share a ring; where that makes it large, the hash of their ids cuts it.
         sizes = ringed.groupBy("dim", "cell", "ring").agg(F.count("*").alias("n"))
-        cut = ringed.join(sizes, ["dim", "cell", "ring"]).withColumn(
+        cut = ringed.join(F.broadcast(sizes), ["dim", "cell", "ring"]).withColumn(
             "part", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / (2 * most)))
         )
         cut = cut.withColumn("block", F.concat_ws("-", "dim", "cell", "ring", "part")).select(

@@ -1,6 +1,7 @@
 import functools
 import random
 import struct
+import time
 
 import numpy as np
 import pytest
@@ -96,6 +97,29 @@ def test_clustered_vectors_are_mostly_ruled_out():
     assert _dual(np.zeros((3, 4), np.int64), np.zeros((50, 4), np.int64)) <= 1
 
 
+def test_vectors_that_rule_nothing_out_are_searched_in_bulk():
+    """Many pairs of nodes at a time: a step for each query and leaf took over ten times as long."""
+    draw = np.random.default_rng(8)
+    data = draw.normal(size=(4096, 64))
+    data = np.floor(256 * data / np.sqrt((data**2).sum(axis=1, keepdims=True))).astype(np.int64)
+    queries = data[::4] + 1
+    exact = queries @ data.T
+    start = time.thread_time()
+    found = list(
+        cover_tree.dual_search(queries, np.arange(1024) + 10**6, np.full(1024, -(2.0**62)), data, np.arange(4096), 5)
+    )
+    assert time.thread_time() - start < 2
+    want = np.argsort(-exact, axis=1, kind="stable")[:, :5]
+    assert sorted(found) == sorted((q + 10**6, int(v), int(exact[q, v])) for q in range(1024) for v in want[q])
+
+
+def test_products_stay_exact_beyond_floating_point():
+    draw = np.random.default_rng(9)
+    data = draw.integers(-(2**29), 2**29, size=(300, 3))
+    data[100:] = data[0] + draw.integers(0, 3, size=(200, 3))
+    assert _dual(data[::30], data) <= 1
+
+
 def test_equal_vectors_are_cut_before_they_meet(spark):
     table = spark.range(3000).selectExpr("id as vec_id", "array(1.0, if(id < 0, id, 2.0)) as embedding")
     good = cover_tree.smallest_of_equal(table.selectExpr("vec_id as id", "embedding as vector"), 6)
