@@ -65,6 +65,9 @@ def cover_tree(points: np.ndarray, leaf: int = _LEAF, scattered: int = _SCATTERE
     lengths = np.sqrt((points**2).sum(axis=1))
 
     def node(rows: np.ndarray, centre: int) -> tuple[Node, np.ndarray]:
+        if len(rows) == 1:
+            norm = float(lengths[centre])
+            return Node(points[centre], norm, 0.0, norm, norm, 0.0 if norm > 0 else math.pi, rows, []), np.zeros(1)
         far = np.sqrt(((points[rows] - points[centre]) ** 2).sum(axis=1))
         norm, turn = float(lengths[centre]), math.pi
         least = float(lengths[rows].min())
@@ -215,7 +218,7 @@ def _multiplier(queries: np.ndarray, data: np.ndarray):
     longest = [float(np.sqrt((m.astype(np.float64) ** 2).sum(axis=1).max(initial=0.0))) for m in (queries, data)]
     if longest[0] * longest[1] < 2.0**52:
         as_query, as_float = queries.astype(np.float64), data.astype(np.float64)
-        return lambda a, b: (as_query[a] @ as_float[b].T).astype(np.int64)
+        return lambda a, b: as_query[a] @ as_float[b].T
     return lambda a, b: queries[a] @ data[b].T
 
 
@@ -244,13 +247,14 @@ def dual_search(
     p = _Flat(cover_tree(data.astype(np.float64)))
     at = other = np.zeros(1, dtype=np.int64)
     top = _bounds(q, at, p, other)
-    times, rounds = np.zeros(len(queries), dtype=np.int64), 0
+    times, rounds, in_order = np.zeros(len(queries), dtype=np.int64), 0, False
     while len(at):
         pace = np.minimum(q.lowest(times), _FASTEST)
         haste = np.minimum(pace + rounds // _STEPS, _FASTEST)
         rounds += 1
-        order = np.lexsort((-top, at))
-        at, other, top = at[order], other[order], top[order]
+        if not in_order:
+            order = np.lexsort((-top, at))
+            at, other, top = at[order], other[order], top[order]
         place = _place_in_group(at)
         greatest = np.full(len(pace), -np.inf)
         greatest[at[place == 0]] = top[place == 0]
@@ -261,14 +265,15 @@ def dual_search(
         a, b, meet = at[taken], other[taken], meet[taken]
         at, other, top = at[~taken], other[~taken], top[~taken]
         if meet.any():
-            times[_score(q, a[meet], p, b[meet], product, ids, best, scored)] += 1
+            times += _score(q, a[meet], p, b[meet], product, ids, best, scored)
         a, b = a[~meet], b[~meet]
-        by_query = (q.children[a] > 0) & ((p.children[b] == 0) | (q.radius[a] > p.radius[b]))
-        of_query, q_child = _spread(q.child[a[by_query]], q.children[a[by_query]])
-        of_data, p_child = _spread(p.child[b[~by_query]], p.children[b[~by_query]])
-        a, b = np.r_[q_child, a[~by_query][of_data]], np.r_[b[by_query][of_query], p_child]
-
-        at, other, top = np.r_[at, a], np.r_[other, b], np.r_[top, _bounds(q, a, p, b)]
+        in_order = not len(a)
+        if len(a):
+            by_query = (q.children[a] > 0) & ((p.children[b] == 0) | (q.radius[a] > p.radius[b]))
+            of_query, q_child = _spread(q.child[a[by_query]], q.children[a[by_query]])
+            of_data, p_child = _spread(p.child[b[~by_query]], p.children[b[~by_query]])
+            a, b = np.r_[q_child, a[~by_query][of_data]], np.r_[b[by_query][of_query], p_child]
+            at, other, top = np.r_[at, a], np.r_[other, b], np.r_[top, _bounds(q, a, p, b)]
         open_still = top >= q.lowest(best.floors)[at]
         at, other, top = at[open_still], other[open_still], top[open_still]
     yield from zip(query_ids[best.rows].tolist(), best.ids.tolist(), best.scores.tolist())
@@ -277,7 +282,7 @@ def dual_search(
 def _score(
     q: _Flat, a: np.ndarray, p: _Flat, b: np.ndarray, product, ids: np.ndarray, best: _Best, scored: list[int] | None
 ) -> np.ndarray:
-    """Score pairs of query nodes and leaves of data, all queries of a leaf at once; returns these queries."""
+    """Score pairs of query nodes and leaves of data, all queries of a leaf at once; marks these queries."""
     of_pair, at = _spread(q.first[a], q.sizes[a])
     asked, leaves = q.rows[at], b[of_pair]
     order = np.argsort(leaves, kind="stable")
@@ -295,10 +300,12 @@ def _score(
                 scored.append(scores.size)
             x, y = np.nonzero(scores >= best.floors[meeting][:, None])
             rows.append(meeting[x])
-            values.append(scores[x, y])
+            values.append(scores[x, y].astype(np.int64))
             numbers.append(ids[of_leaf[y]])
     best.offer(rows, values, numbers)
-    return np.unique(asked)
+    met = np.zeros(len(best.floors), dtype=np.int64)
+    met[asked] = 1
+    return met
 
 
 def integer_components(vector: Column, scale: int = 256) -> Column:
