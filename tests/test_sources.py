@@ -267,3 +267,15 @@ def test_a_writer_takes_over_what_others_publish(spark, tmp_path, monkeypatch):
     assert store.stored_vintages(spark, root) == ["2018Q1", "2018Q2"]
     assert {r.vintage for r in store.read_raw(spark, root).collect()} == {"2018Q1", "2018Q2"}
     assert not put_new(spark, calls[0], "other")
+
+
+@pytest.mark.parametrize(
+    "path",
+    ["file:/a/2018Q1.csv", "file:/a/file=2018Q1.csv/part-0.csv.gz", "file:/Quarters/Q9_2018Q12018Q2.csv", "file:/2016Q1/b/Q2018Q3.csv.gz",
+     "file:/a/2017Q4/2018Q1.csv", "file:/a/1Q2.csv", "Q1.csv", "file:/a/2018Q5.csv/2018Q2.csv", "x2018Q4", "file:/a/none.csv"],
+)
+def test_vintages_of_paths_equal_those_of_the_pattern(spark, path):
+    row = spark.createDataFrame([(path,)], "p string").select(
+        panel_text.file_vintage(F.col("p")).alias("got"), F.regexp_extract("p", r"(\d{4}Q[1-4])[^/]*(?:/[^/]*)?$", 1).alias("want")
+    ).first()
+    assert row.got == row.want
