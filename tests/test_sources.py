@@ -279,3 +279,22 @@ def test_vintages_of_paths_equal_those_of_the_pattern(spark, path):
         panel_text.file_vintage(F.col("p")).alias("got"), F.regexp_extract("p", r"(\d{4}Q[1-4])[^/]*(?:/[^/]*)?$", 1).alias("want")
     ).first()
     assert row.got == row.want
+
+
+def test_conversion_parses_good_lines_once(spark, tmp_path, monkeypatch):
+    land, root, looked = f"{tmp_path}/land", f"{tmp_path}/raw", []
+    put(land, "2018Q1.csv", [*GOOD, "", " \t"])
+    put(land, "2018Q2.csv", [*GOOD, line(LOAN_ID=7, **{[f.name for f in panel_schema().fields if f.dataType.typeName() == "double"][-1]: "x"}), "1|2"])
+    monkeypatch.setattr(landing, "read_panel_text", lambda *a, **k: looked.append(a))
+    got = {r.vintage: (r.status, r.rows, r.bad_lines) for r in landing.convert(spark, land, root).collect()}
+    assert got == {"2018Q1": ("OK", 2, 0), "2018Q2": ("FAIL", 4, 2)} and not looked
+    assert {r.vintage: r["count"] for r in store.read_raw(spark, root).groupBy("vintage").count().collect()} == {"2018Q1": 2}
+    assert sorted(p.rsplit("/", 1)[1] for p in files.matches(spark, f"{root}/*")) == ["orig_year=2018"]
+
+
+def test_conversion_of_entries_that_name_two_vintages(spark, tmp_path):
+    land, root = f"{tmp_path}/land", f"{tmp_path}/raw"
+    put(land, "2017Q4_2018Q1.csv", GOOD)
+    put(land, "2018Q2.csv", GOOD[:1])
+    landing.convert(spark, land, root).collect()
+    assert {r.vintage: r["count"] for r in store.read_raw(spark, root).groupBy("vintage").count().collect()} == {"2017Q4": 2, "2018Q2": 1}
